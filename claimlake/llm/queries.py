@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlake.llm import boilerplate, encoding, residue
+from claimlake.llm import boilerplate, canonical, contamination, encoding, pii, residue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +23,29 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.found(table(spark, d, "items"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.found(table(spark, d, "items"), table(spark, d, "verdict_labels"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.found(table(spark, d, "items"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p6_found": p6_found}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p4_found": p4_found,
+    "p6_found": p6_found,
+    "p9_found": p9_found,
+    "p10_found": p10_found,
+}
 
 SQL: dict[str, str] = {"p2_found": boilerplate.FOUND_SQL}
