@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlake.llm import boilerplate, canonical, contamination, encoding, pii, residue
+from claimlake.llm import boilerplate, canonical, contamination, encoding, history, pii, residue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.found(table(spark, d, "items"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return history.found(table(spark, d, "items"), table(spark, d, "seen"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return contamination.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
     "p4_found": p4_found,
     "p6_found": p6_found,
+    "p7_found": p7_found,
     "p9_found": p9_found,
     "p10_found": p10_found,
 }
