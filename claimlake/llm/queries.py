@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlake.llm import boilerplate, canonical, contamination, encoding, history, pii, residue
+from claimlake.llm import boilerplate, canonical, contamination, encoding, history, packing, pii, residue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return history.found(table(spark, d, "items"), table(spark, d, "seen"))
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed_documents(table(spark, d, "documents"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return contamination.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "p4_found": p4_found,
     "p6_found": p6_found,
     "p7_found": p7_found,
+    "p8_packed": p8_packed,
     "p9_found": p9_found,
     "p10_found": p10_found,
 }
