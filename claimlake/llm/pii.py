@@ -13,7 +13,7 @@ import datetime as dt
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,6 +39,7 @@ STREETS = (
     "rodovia", "rod.", "beco", "ladeira", "viela", "calçada", "quinta", "praceta", "calle", "c/", "avda.", "plaza", "paseo", "carrera",
 )
 STREETS_AFTER = ("street", "st.", "road", "rd.", "avenue", "ave.", "lane", "drive")
+_AFTER = tuple(f" {s}" for s in STREETS_AFTER)
 
 # What announces a person's name, in Portuguese, Spanish and English.
 NAME_CUES = (
@@ -71,7 +72,10 @@ _LINKS = frozenset("de da do dos das di del della van von y la".split())
 _AT = r"(?:@|\s@\s|\s?[\[({<]\s?(?:arroba|at|a|@)\s?[\])}>]\s?|\s(?:arroba|at)\s)"
 _DOT = r"(?:\.|\s?[\[({<]\s?(?:ponto|punto|dot|\.)\s?[\])}>]\s?|\s(?:ponto|punto|dot)\s)"
 _EMAIL = re.compile(rf"(?i)(?<![\w.+%-])[a-z0-9À-ÿ][\wÀ-ÿ.+%-]*{_AT}[a-z0-9](?:[a-z0-9-]*[a-z0-9])?(?:{_DOT}[a-z0-9](?:[a-z0-9-]*[a-z0-9])?)+(?![\w@])")
-_NUMBER = re.compile(r"(?<![\w@#/.,+\-])(?:[A-Z]{1,3}-?\d{5,9}|(?:\+ ?|00)?\(?\+?\d[\d .\-()/]{5,24}[\dXx])(?![\w@]|[./,-]\d)")
+#: Numbers are looked for by their digits and then widened to what belongs to them on the left.
+_DIGITS = re.compile(r"\d[\d .\-()/]{4,24}[\dXx]")
+_LEAD = re.compile(r"(?:\+ ?\(?|\(\+?|[A-Z]{1,3}-?)$")
+_NUMBER = re.compile(r"(?:[A-Z]{1,3}-?\d{5,9}|(?:\+ ?|00)?\(?\+?\d[\d .\-()/]{5,24}[\dXx])(?![\w@]|[./,-]\d)")
 _PHONES = tuple(
     re.compile(rx)
     for rx in (
@@ -97,12 +101,23 @@ _OTHER_BEFORE = re.compile(r"(?i)(?<!\w)(?:%s)(?!\w)(?:\s(?:n\.?\s?[º°o.]{0,2}
 _CAP = r"(?:[A-ZÀ-ÖØ-Þ][\wÀ-ÿ'’-]*\.?|\d{1,2}(?= de ))"
 _LINK = r"(?:de|da|do|das|dos|e|del|la|of|DE|DA|DO|DAS|DOS|E)"
 _HOUSE = r"(?:\s?,\s?(?:n\.?\s?[º°o]\.?\s?|número\s|num\.\s|#\s?)?|\s(?:n\.?\s?[º°o]\.?\s?|número\s)?)\d{1,5}(?:-?[A-Za-z]\b)?"
-_STREET = "|".join(sorted((re.escape(s) for s in STREETS), key=len, reverse=True))
-_ADDRESS = re.compile(rf"(?<![\w@.])(?i:{_STREET})\s(?:{_LINK}\s)*{_CAP}(?:\s(?:{_LINK}\s)*{_CAP}){{0,5}}{_HOUSE}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
+#: Streets as written: small, capitalised, in capitals.  Without flags the search skips from first letter to first letter.
+_STREET = re.compile("|".join(re.escape(w) for s in sorted(STREETS, key=len, reverse=True) for w in dict.fromkeys((s.capitalize(), s, s.upper()))))
+_ADDRESS = re.compile(rf"\s(?:{_LINK}\s)*{_CAP}(?:\s(?:{_LINK}\s)*{_CAP}){{0,5}}{_HOUSE}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
 #: Written in lower case or without capitals, a street needs a comma or a number sign before the house number.
-_ADDRESS_LOW = re.compile(rf"(?i)(?<![\w@.])(?:{_STREET})\s[^\W\d_][^\W\d_'’-]*(?:\s[^\W\d_]+){{0,5}}(?:\s?,\s?(?:n\.?\s?[º°o]\.?\s?)?|\s(?:n\.?\s?[º°]\.?|número)\s?)\d{{1,5}}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
+_ADDRESS_LOW = re.compile(r"\s[^\W\d_][^\W\d_'’-]*(?:\s[^\W\d_]+){0,5}(?:\s?,\s?(?:n\.?\s?[º°o]\.?\s?)?|\s(?:n\.?\s?[º°]\.?|número)\s?)\d{1,5}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
 _ADDRESS_EN = re.compile(rf"(?<![\w@.])\d{{1,5}}\s{_CAP}(?:\s{_CAP}){{0,3}}\s(?i:{'|'.join(re.escape(s) for s in STREETS_AFTER)})(?!\w)")
 _CUE = re.compile("(?i)(?:%s)" % "|".join(NAME_CUES))
+#: No cue without one of these; most texts have none.
+_CUE_PARTS = (
+    "sr.", "sr ", "sra", "srta", "dr.", "dr ", "dra", "prof.", "profa", "prof ", "mr.", "mr ", "mrs", "ms.", "ms ", "dom ", " d. ", "senhor", "dona ", "doña", "doutor", " seu ",
+    "señor", "falar com", "fale com", "falou com", "falei com", "falamos com", "entre ela", "entre ele", "entre ella", "assinatura de", "firma de", "assinado por",
+    "assinada por", "firmado por", "firmada por", "nome", "nombre", "name", "me chamo", "me llamo", "enviado por", "enviada por", "mandado por", "mandada por",
+    "escrito por", "escrita por", "recebido por", "recebida por", "encaminhado por", "encaminhada por", "lo envió", "the sender", "signed by", "sent by",
+    "written by", "remetente", "destinatári", "titular", "responsável:", "contato:", "assinante", "remitente", "sender:", "paciente:", "morador:", "cliente:",
+    "ask for", "pregunte por", "procure por", "procurar por", "speak to", "speak with", "talk to", "talk with", "hablar con", "[",
+)
+_CLOCK_LINE = re.compile(r"\d:\d{2} - ")
 _NAME_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _BIRTH = re.compile(r"(?i)\b(?:nascid[oa](?: em)?|nascimento:?|d\.?n\.?:?|nacid[oa](?: el)?|born(?: on)?)\s+(\d{1,2}[/.-]\d{1,2}[/.-]\d{4})")
 
@@ -149,22 +164,46 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
     def free(start: int, end: int) -> bool:
         return all(end <= s or start >= e for _, s, e in taken)
 
-    if "@" in text or re.search(r"(?i)arroba|\bat\b|[\[({<]a[\])}>]", text):
+    low = text.lower()
+    if "@" in text or "arroba" in low or any(s in low for s in (" at ", "(at)", "[at]", "{at}", "<at>", "(a)", "[a]")):
         for m in _EMAIL.finditer(text):
             if not re.search(r"(?i)\sat\s", m.group()) or re.search(r"(?i)\sdot\s|\(dot\)|\[dot\]", m.group()):
                 taken.append(("email", *m.span()))
-    for rx in (_ADDRESS, _ADDRESS_LOW, _ADDRESS_EN):
-        for m in rx.finditer(text):
-            if free(*m.span()):
-                taken.append(("address", *m.span()))
+    for m in _STREET.finditer(text):
+        if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] in "_@."):
+            continue
+        rest = _ADDRESS.match(text, m.end()) or _ADDRESS_LOW.match(text, m.end())
+        if rest and free(m.start(), rest.end()):
+            taken.append(("address", m.start(), rest.end()))
+    if any(s in low for s in _AFTER):
+        taken += [("address", *m.span()) for m in _ADDRESS_EN.finditer(text) if free(*m.span())]
     if dates:
         taken += [("date", *m.span(1)) for m in _BIRTH.finditer(text)]
-    for m in _NUMBER.finditer(text):
+    for digits in _DIGITS.finditer(text):
+        start = digits.start()
+        lead = _LEAD.search(text, max(0, start - 4), start)
+        start = lead.start() if lead else start
+        m = _NUMBER.match(text, start)
+        if not m or (start and (text[start - 1].isalnum() or text[start - 1] in "_@#/.,+-")):
+            continue
         kind = _number_kind(text, m)
         if kind and free(*m.span()):
             taken.append((kind, *m.span()))
-    for m in _CUE.finditer(text):
-        start = m.end()
+    _names(text, low if len(low) == len(text) else text, taken, free)
+    return sorted(taken, key=lambda x: x[1])
+
+
+def _names(text: str, low: str, taken: list[tuple[str, int, int]], free: Callable[[int, int], bool]) -> None:
+    """Adds the names that a cue announces, and those that go on in a list."""
+    starts = set()
+    for part in _CUE_PARTS:
+        at = low.find(part)
+        while at >= 0:
+            # The cue lies around its part.
+            starts.update(m.end() for m in _CUE.finditer(text, max(0, at - 16), at + len(part) + 24))
+            at = low.find(part, at + 1)
+    starts.update(m.end() for m in _CLOCK_LINE.finditer(text))
+    for start in sorted(starts):
         while (end := _name_at(text, start)) is not None:
             if free(start, end):
                 taken.append(("name", start, end))
@@ -175,7 +214,6 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
             # After a comma only a name in the list goes on; a lower-case word there is the sentence.
             if not text[start : start + 1].isupper() and more.group().strip() == ",":
                 break
-    return sorted(taken, key=lambda x: x[1])
 
 
 def _number_kind(text: str, m: re.Match) -> str | None:
