@@ -166,3 +166,12 @@ def found(documents: DataFrame, tests: DataFrame) -> DataFrame:
     """``doc_id, eval_id``: each document and each test item of which 13 words in a row stand in it."""
     hits = leaks(documents, "doc_id", "text", tests, "eval_id", "passage")
     return hits.select(F.col("key").alias("doc_id"), F.col("item").alias("eval_id")).distinct()
+
+
+FOUND_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents),
+e AS (SELECT eval_id, regexp_extract_all(lower(strip_accents(passage)), '[\p{L}\p{N}]+') AS w FROM eval_items),
+dg AS (SELECT doc_id, array_to_string(w[i:i + 12], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+eg AS (SELECT DISTINCT eval_id, array_to_string(w[i:i + 12], ' ') AS gram FROM (SELECT eval_id, w, unnest(range(1, len(w) - 11)) AS i FROM e))
+SELECT DISTINCT doc_id, eval_id FROM dg JOIN eg USING (gram)
+"""

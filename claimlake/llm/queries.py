@@ -58,4 +58,4 @@ QUERIES: dict[str, Query] = {
     "p10_found": p10_found,
 }
 
-SQL: dict[str, str] = {"p2_found": boilerplate.FOUND_SQL}
+SQL: dict[str, str] = {"p2_found": boilerplate.FOUND_SQL, "p9_found": contamination.FOUND_SQL}
