@@ -52,12 +52,13 @@ _COSTS = (
 )
 _ODD = re.compile(f"[^\x00-\x7f{USUAL}{FOREIGN}←-⇿⌀-⓿■-⿿　-￯\U00010000-\U0010ffff]")
 
-#: JVM-side test that lets only possibly garbled fields into Python; everything the costs look at passes it.
+#: JVM-side test that lets only possibly garbled fields into Python; everything the costs look at passes it.  Every
+#: branch stands behind one cheap test for a character beyond ASCII, so that most characters meet no other.
 SUSPECT = (
-    "[�\u0080-\u009fĀ-ſƒˆ-˝Ͱ-֏‚„†‡‰‹›⁄∀-⋿─-▟◊ﬁﬂ"
-    f"¢¤-¦¨¬¯±-¶¸¹×÷{FOREIGN}]"
-    f"|[ÃÂ][^\\x00-\\x7fÀ-Ý]|[a-záàâãéêíóôõúüçñ][{_UPPER}]|[ÃÂ] |[âÔ][€‚Ç]|[ÃÂ]$"
-    "|\\p{L}[”“‘«»–—…•·©®™€£§¿¡½¼¾ªº°]\\p{L}"
+    "(?=[^\\x00-\\x7f])(?:[\ufffd\u0080-\u009f\u0100-\u017f\u0192\u02c6-\u02dd\u0370-\u058f\u201a\u201e\u2020\u2021\u2030\u2039\u203a\u2044\u2200-\u22ff\u2500-\u259f\u25ca\ufb01\ufb02"
+    f"\u00a2\u00a4-\u00a6\u00a8\u00ac\u00af\u00b1-\u00b6\u00b8\u00b9\u00d7\u00f7{FOREIGN}]"
+    f"|[ÃÂ](?=[^\\x00-\\x7fÀ-Ý]| |$)|(?<=[a-záàâãéêíóôõúüçñ])[{_UPPER}]|[âÔ](?=[€\u201aÇ])"
+    "|(?<=\\p{L})[\u201d\u201c\u2018«»–—…•·©®™€£§¿¡½¼¾ªº°](?=\\p{L}))"
 )
 
 
@@ -170,13 +171,16 @@ _LEFT = re.compile(
 )
 
 
+_SUSPECT = re.compile(SUSPECT.replace("\\p{L}", "[^\\W\\d_]"))
+
+
 def restore(text: str | None) -> tuple[str, str | None]:
     """``(status, text)``: ``clean``, ``restored`` or ``lost`` (garbled, with characters gone for good).
 
     Null and empty text is clean.  A lost text comes back with those stretches
     restored that could be.
     """
-    if not text or text.isascii():
+    if not text or text.isascii() or not _SUSPECT.search(text):
         return "clean", text
     best = text
     for _ in range(4):
