@@ -18,7 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,12 +96,13 @@ NOTATIONS = tuple(
 _NOTATIONS = tuple((mark, re.compile(rx)) for mark, rx in NOTATIONS)
 _SOME = re.compile(r"[{}<>%$#@_\[\]]|(?i:x{3}|(\b\w{3,})\W+\1\W+\1)")
 _TOKEN = re.compile(r"⟦[^⟧]+⟧|(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{4,}|\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)?")
+_DIGIT = re.compile(r"\d")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|[\n\r|]+|\s[-–—]\s")
 
 
 def tokens(text: str) -> list[str]:
     """Lower-case words, ``0`` for numbers and hexadecimal ids, one token per placeholder."""
-    return ["0" if t[0].isdigit() or (t[0] != "⟦" and any(c.isdigit() for c in t)) else t for t in _TOKEN.findall(text)]
+    return ["0" if t[0] != "⟦" and not t.isalpha() and _DIGIT.search(t) else t for t in _TOKEN.findall(text)]
 
 
 def _mark(text: str) -> str:
@@ -131,7 +132,14 @@ class ExemplarIndex:
 
     def match(self, window: Counter) -> tuple[float, str]:
         """Share of the window that retrieved exemplars cover, and the kind of the best of them."""
-        total = sum(self.idf.get(t, self.other) * n for t, n in window.items())
+        total = possible = 0.0
+        for t, n in window.items():
+            w = self.idf.get(t)
+            total += (self.other if w is None else w) * n
+            possible += 0.0 if w is None else w * n
+        # No exemplar can cover more than the tokens that any exemplar has.
+        if possible < COVERED * total:
+            return 0.0, ""
         candidates = {n for t in window for n in self.postings.get(t, ())}
         cover: Counter = Counter()
         best = (0.0, "")
@@ -188,31 +196,45 @@ def _counts(fields: DataFrame, index: ExemplarIndex) -> tuple[dict[str, int], in
     return found, found.pop("⟦n⟧", 0)
 
 
-def residue(df: DataFrame, key: str, fields: list[str], exemplars: dict[str, tuple[str, ...]] = EXEMPLARS) -> DataFrame:
-    """``key, field, kind, score, window`` for each field that holds residue.
-
-    Null and blank fields are none; garbled text is compared as restored; repeated
-    rows give repeated rows; whatever its length a field is read to its end.
-    """
+def _index(long: DataFrame, exemplars: dict[str, tuple[str, ...]]) -> ExemplarIndex:
     index = ExemplarIndex(exemplars)
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("value")) for f in fields])
-    long = df.select(F.col(f"`{key}`").alias("key"), F.explode(F.filter(pairs, lambda p: F.length(F.trim(p["value"])) > 0)).alias("p"))
-    long = long.select("key", F.col("p.field").alias("field"), F.col("p.value").alias("value"))
     index.weigh(*_counts(long, index))
+    return index
+
 
+def _classifier(index: ExemplarIndex):  # noqa: ANN202
     @F.pandas_udf(_RESULT)
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([index.classify(t) for t in texts], columns=["kind", "score", "window"])
 
-    done = long.select("key", "field", classify("value").alias("r"))
+    return classify
+
+
+def _long(df: DataFrame, fields: list[str], *key: Column) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("value")) for f in fields])
+    long = df.select(*key, F.explode(F.filter(pairs, lambda p: F.length(F.trim(p["value"])) > 0)).alias("p"))
+    return long.select(*(["key"] if key else []), F.col("p.field").alias("field"), F.col("p.value").alias("value"))
+
+
+def residue(df: DataFrame, key: str, fields: list[str], exemplars: dict[str, tuple[str, ...]] = EXEMPLARS) -> DataFrame:
+    """``key, field, kind, score, window`` for each field that holds residue.
+
+    Null and blank fields are none; garbled text is compared as restored; repeated
+    rows give repeated rows; whatever its length a field is read to its end.
+    """
+    long = _long(df, fields, F.col(f"`{key}`").alias("key"))
+    done = long.select("key", "field", _classifier(_index(long, exemplars))("value").alias("r"))
     return done.filter("r.kind is not null").select("key", "field", "r.kind", "r.score", "r.window")
 
 
-def without_residue(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """The rows of which no field holds residue; rows with a null key are kept if their fields are real."""
-    bad = residue(df, key, fields).select(F.col("key").alias("_k")).distinct()
-    return df.join(bad, df[key] == bad["_k"], "left_anti")
+def without_residue(df: DataFrame, fields: list[str], exemplars: dict[str, tuple[str, ...]] = EXEMPLARS) -> DataFrame:
+    """The rows of which no field holds residue; each row is judged where it lies."""
+    classify = _classifier(_index(_long(df, fields), exemplars))
+    bad = F.lit(False)
+    for f in fields:
+        bad = bad | classify(F.col(f"`{f}`"))["kind"].isNotNull()
+    return df.filter(~bad)
 
 
 def found(items: DataFrame) -> DataFrame:
