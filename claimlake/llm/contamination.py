@@ -146,8 +146,8 @@ def without_leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, t
     """The corpus without the leaked spans, or (``whole``) without the documents that hold any."""
     found = leaks(documents, key, text, tests, test_key, passage, n=n)
     if whole:
-        bad = found.select(F.col("key").alias("_k")).distinct()
-        return documents.join(bad, documents[key] == bad["_k"], "left_anti")
+        bad = found.select("key").distinct()
+        return documents.join(bad, documents[key] == bad["key"], "left_anti")
     # Spans of several items may overlap; they are merged before cutting.
     merged = F.aggregate(
         F.array_sort(F.collect_set(F.struct("first", "past"))),
@@ -157,9 +157,12 @@ def without_leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, t
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["past"], s["past"]).alias("past")))),
         ).otherwise(F.concat(acc, F.array(s))),
     )
-    spans = found.groupBy(F.col("key").alias("_k")).agg(merged.alias("_spans"))
-    joined = documents.join(spans, documents[key] == spans["_k"], "left")
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(f"`{text}`")).otherwise(_cut(F.col(f"`{text}`"), F.col("_spans")))).drop("_k", "_spans")
+    spans = found.groupBy("key").agg(merged.alias("_spans"))
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
+    joined = documents.select(row, F.col(f"`{key}`").alias("_own")).join(spans, F.col("_own") == F.col("key"), "left")
+    value = F.col(f"_row.`{text}`")
+    cleaned = F.when(F.col("_spans").isNull(), value).otherwise(_cut(value, F.col("_spans")))
+    return joined.select(*[(cleaned if c == text else F.col(f"_row.`{c}`")).alias(c) for c in documents.columns])
 
 
 def found(documents: DataFrame, tests: DataFrame) -> DataFrame:
