@@ -75,6 +75,7 @@ def decide(df: DataFrame, seen: DataFrame | None, *, arrival: str = "arrival", a
     arrival are told apart by their id.  A key's rows meet in one task, but only
     their ids and arrivals do, and a hot agency's rows are of many keys.
     """
+    df = df.drop("errors", "dedupe_key", "status", "_first", "_known")
     address = canonicaliser if canonicaliser is not None else F.col("canonical_url")
     df = df.withColumn("errors", item_errors(dict(df.dtypes))).withColumn("dedupe_key", urls.make_item_id(F.col(agency), address))
     valid = F.size("errors") == 0

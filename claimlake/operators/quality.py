@@ -43,10 +43,11 @@ def format_quality(profile: DataFrame) -> str:
     rows = sorted(profile.collect(), key=lambda r: str(r["spider"]))
     if not rows:
         return "No items to analyze."
-    head = f"{'spider':<24}{'items':>8}{'verdict':>10}{'summary':>10}{'claim':>10}{'body':>10}"
+    measured = [f for f in MEASURED if f"avg_{f}_length" in profile.columns]
+    head = f"{'spider':<24}{'items':>8}{'verdict':>10}" + "".join(f"{f:>10}" for f in measured)
     lines = [head, "-" * len(head)]
     for r in rows:
-        means = "".join(f"{round(r[f'avg_{f}_length'], 1):>10}" for f in MEASURED)
+        means = "".join(f"{round(r[f'avg_{f}_length'], 1):>10}" for f in measured)
         lines.append(f"{r['spider']!s:<24}{r['items']:>8}{round(r['verdict_fill_rate'], 4):>10}{means}")
     fields = sorted(c.removeprefix("filled_") for c in profile.columns if c.startswith("filled_"))
     head = f"{'field':<16}" + "".join(f"{r['spider']!s:>22}" for r in rows)

@@ -223,7 +223,9 @@ def normalise_timestamps(
     base = df.drop(*[c for c in added if c in df.columns])
     keys = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")).alias(f"_src{i}") for i, c in enumerate(source)]
     names = [f"_src{i}" for i in range(len(source))]
-    read = base.select("*", *keys, readings(F.col(f"`{value}`"), F.col(f"`{home_tz}`"), day_first=day_first).alias("_found"))
+    # The row travels as one struct, so that its columns may have any names.
+    row = F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("_row")
+    read = base.select(row, *keys, readings(F.col(f"`{value}`"), F.col(f"`{home_tz}`"), day_first=day_first).alias("_found"))
     read = read.withColumn("_signature", _signature(F.col("_found")))
     # A value of one reading teaches its source that format; it is counted like the open ones.
     counts = read.filter(F.size("_found") > 0).groupBy(*names, "_signature").agg(F.count("*").alias("n"))
@@ -246,7 +248,7 @@ def normalise_timestamps(
     )
     posterior = F.when(F.size("_found") == 1, F.lit(1.0)).otherwise(F.col("_posterior"))
     return joined.select(
-        *[F.col(f"`{c}`") for c in base.columns],
+        "_row.*",
         chosen["utc"].alias("ts_utc"),
         chosen["format"].alias("ts_format"),
         posterior.alias("ts_posterior"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +34,16 @@ def read_runs(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def list_runs(spark: SparkSession, data_dir: str) -> DataFrame:
-    """``run_id, has_metadata`` of every run folder that holds a file."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").option("recursiveFileLookup", "true").load(f"{data_dir}/runs").select("path")
-    parts = F.split("path", "/")
-    named = files.select(F.element_at(parts, -2).alias("run_id"), F.element_at(parts, -1).alias("file"))
-    return named.groupBy("run_id").agg(F.max(F.col("file") == "run.json").alias("has_metadata"))
+    """``run_id, has_metadata`` of every run folder; a listing of names, so the driver does it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+
+    def names(pattern: str, up: bool) -> set[str]:
+        path = hadoop.Path(f"{data_dir}/runs/{pattern}")
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return {(s.getPath().getParent() if up else s.getPath()).getName() for s in found if up or s.isDirectory()}
+
+    full = names("*/run.json", up=True)
+    return spark.createDataFrame([(n, n in full) for n in sorted(names("*", up=False))], "run_id string, has_metadata boolean")
 
 
 def read_legacy_seen(spark: SparkSession, path: str) -> DataFrame:
@@ -125,8 +131,6 @@ def register(spark: SparkSession) -> None:
 
 
 def _batched(function):  # noqa: ANN001, ANN202
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def apply(values: pd.Series) -> pd.Series:
         return pd.Series([function(v) for v in values], dtype=object)
