@@ -50,7 +50,8 @@ _COSTS = (
     (re.compile(f"(?<=[^\\W\\d_])[{_INNER}](?=[^\\W\\d_])"), 2.0),
     (re.compile(f"[{FOREIGN}]"), 1.0),
 )
-_ODD = re.compile(f"[^\x00-\x7f{USUAL}{FOREIGN}←-⇿⌀-⓿■-⿿　-￯\U00010000-\U0010ffff]")
+#: Whole words in Greek, Cyrillic, Hebrew, Arabic or an East Asian script are sound; only their mixture with Latin isn't.
+_ODD = re.compile(f"[^\x00-\x7f{USUAL}{FOREIGN}\u0370-\u06ff\u2190-\u21ff\u2300-\u23ff\u25a0-\u2fff\u3000-\ud7ff\uf900-\uffef\U00010000-\U0010ffff]")
 
 #: JVM-side test that lets only possibly garbled fields into Python; everything the costs look at passes it.  Every
 #: branch stands behind one cheap test for a character beyond ASCII, so that most characters meet no other.
