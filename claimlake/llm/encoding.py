@@ -145,13 +145,22 @@ def _single_byte(text: str, read: str, meant: str) -> str | None:
     return "".join(out)
 
 
+#: Characters beyond ASCII by how common they are in Portuguese; of repairs that cost the same the more common spelling wins.
+_COMMON = {c: i for i, c in enumerate("ãáçéíóêúâõôà“”ÁÉÃÍÇÚ—º–ÊÓÂÔÕÀ‘’üñ")}
+
+
+def _rarity(text: str) -> int:
+    return sum(_COMMON.get(c, 60) for c in text if c > "\x7f")
+
+
 def _repair_single(text: str) -> str:
-    """The least costly of all single-byte repairs over stretches of one width, wide ones first on a tie."""
+    """The least costly of all single-byte repairs, over stretches of one width; wide ones go first."""
     best, best_cost = text, cost(text)
     for stretches in _STRETCHES:
+        if not best_cost:
+            break
+        options = []
         for read, meant in READ_AS_SINGLE:
-            if best_cost == 0:
-                return best
 
             def one(found: re.Match, read: str = read, meant: str = meant) -> str:
                 part = found.group()
@@ -160,8 +169,10 @@ def _repair_single(text: str) -> str:
                 return fixed if fixed is not None and cost(fixed) < now else part
 
             whole = stretches.sub(one, text)
-            if cost(whole) < best_cost:
-                best, best_cost = whole, cost(whole)
+            options.append((cost(whole), _rarity(whole), whole))
+        least = min(options)
+        if least[0] < best_cost:
+            best_cost, _, best = least
     return best
 
 
