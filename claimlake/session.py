@@ -41,7 +41,13 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="claimlake-")
         context.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/claimlake-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/claimlake-{uuid.uuid4().hex}"
+    # What lies there serves this application alone; its file system removes it at the end.
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
