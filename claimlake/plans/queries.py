@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.functions import dates, labels, text, urls
+from claimlake.functions import dates, jsonld, labels, text, urls
 from claimlake.operators import discovery, extraction, ingest, multivalue, processing, profiles, quality, runs, timestamps
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -413,6 +413,38 @@ def cleaned_items(spark: SparkSession, d: str) -> DataFrame:
     return ingest.clean_items(table(spark, d, "items"))
 
 
+@query(
+    f"""SELECT arrival, coalesce(regexp_matches(title, '(?i)^https?://[^/?#]+'), false) AS title_is_url, coalesce(regexp_matches(source_url, '(?i)^https?://[^/?#]+'), false) AS source_is_url,
+      coalesce({_SQUEEZE.format("published_at")} IN ('-', '–', '—'), false) AS no_date FROM items"""
+)
+def item_flags(spark: SparkSession, d: str) -> DataFrame:
+    url, date = text.is_probable_url, text.is_date_placeholder(F.col("published_at"))
+    return table(spark, d, "items").select("arrival", url(F.col("title")).alias("title_is_url"), url(F.col("source_url")).alias("source_is_url"), date.alias("no_date"))
+
+
+_FIRST = _Sql(f"list_filter(list_transform(coalesce({{0}}, []), lambda x: {_SQUEEZE.format('x')}), lambda x: x IS NOT NULL AND lower(x) NOT IN ('-', 'none', 'null', 'nan', 'n/a'))[1]")
+
+
+@query(f"SELECT arrival, coalesce({_FIRST.format('topics')}, {_FIRST.format('tags')}) AS category FROM items")
+def categories(spark: SparkSession, d: str) -> DataFrame:
+    first = lambda c: F.try_element_at(text.clean_analysis_list(F.col(c)), F.lit(1))
+    return table(spark, d, "items").select("arrival", F.coalesce(first("topics"), first("tags")).alias("category"))
+
+
+_NO_VERDICT = f"regexp_replace({_SQUEEZE.format('title')}, '(?i){_WS}+(Verdadeiro|Falso|Errado|Impreciso|Verdade,?{_WS}*mas)$', '')"
+
+
+@query(f"SELECT arrival, {_SQUEEZE.format(_NO_VERDICT)} AS claim FROM items")
+def claims_from_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "items").select("arrival", text.claim_without_verdict_suffix(text.squeeze(F.col("title"))).alias("claim"))
+
+
+@query("SELECT arrival, CAST(p AS INTEGER) AS pos, t AS type FROM (SELECT arrival, unnest([0, 1]) AS p, unnest(['NewsArticle', 'ClaimReview']) AS t FROM items)")
+def jsonld_types(spark: SparkSession, d: str) -> DataFrame:
+    nodes = _pages(table(spark, d, "items"), "afp_checamos").select("arrival", F.posexplode(jsonld.jsonld_nodes("body")).alias("pos", "node"))
+    return nodes.select("arrival", "pos", F.get_json_object("node", "$['@type']").alias("type"))
+
+
 @query()
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.found(table(spark, d, "items"), table(spark, d, "agencies"))
