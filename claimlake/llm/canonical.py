@@ -173,8 +173,10 @@ def map_fields(df: DataFrame, key: str, fields: list[str], reference: DataFrame)
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("value")) for f in fields])
     long = df.select(F.col(f"`{key}`").alias("key"), F.explode(pairs).alias("p")).select("key", "p.field", "p.value")
     long = long.filter(~F.lower(F.trim("value")).isin("", "-", "n/a", "null"))
+    # Exact labels go before anything is shuffled: the commonest values are among them.
     labels = reference.select("field", F.col("label").alias("value")).distinct()
-    values = long.groupBy("field", "value").agg(F.count("*").alias("n")).join(labels, ["field", "value"], "left_anti")
+    long = long.join(labels, ["field", "value"], "left_anti")
+    values = long.groupBy("field", "value").agg(F.count("*").alias("n"))
     answers = materialise(match_values(materialise(values, "values"), reference), "answers")
     return long.join(answers, ["field", "value"]).select("key", "field", "value", "label_id")
 
