@@ -38,6 +38,7 @@ STREETS = (
     "rua", "r.", "avenida", "av.", "av", "travessa", "tv.", "trav.", "alameda", "al.", "praça", "praca", "pça.", "pç.", "largo", "lgo.", "estrada", "estr.",
     "rodovia", "rod.", "beco", "ladeira", "viela", "calçada", "quinta", "praceta", "calle", "c/", "avda.", "plaza", "paseo", "carrera",
 )
+_STREETS = tuple(sorted(STREETS, key=len, reverse=True))
 STREETS_AFTER = ("street", "st.", "road", "rd.", "avenue", "ave.", "lane", "drive")
 _AFTER = tuple(f" {s}" for s in STREETS_AFTER)
 
@@ -101,8 +102,6 @@ _OTHER_BEFORE = re.compile(r"(?i)(?<!\w)(?:%s)(?!\w)(?:\s(?:n\.?\s?[º°o.]{0,2}
 _CAP = r"(?:[A-ZÀ-ÖØ-Þ][\wÀ-ÿ'’-]*\.?|\d{1,2}(?= de ))"
 _LINK = r"(?:de|da|do|das|dos|e|del|la|of|DE|DA|DO|DAS|DOS|E)"
 _HOUSE = r"(?:\s?,\s?(?:n\.?\s?[º°o]\.?\s?|número\s|num\.\s|#\s?)?|\s(?:n\.?\s?[º°o]\.?\s?|número\s)?)\d{1,5}(?:-?[A-Za-z]\b)?"
-#: Streets as written: small, capitalised, in capitals.  Without flags the search skips from first letter to first letter.
-_STREET = re.compile("|".join(re.escape(w) for s in sorted(STREETS, key=len, reverse=True) for w in dict.fromkeys((s.capitalize(), s, s.upper()))))
 _ADDRESS = re.compile(rf"\s(?:{_LINK}\s)*{_CAP}(?:\s(?:{_LINK}\s)*{_CAP}){{0,5}}{_HOUSE}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
 #: Written in lower case or without capitals, a street needs a comma or a number sign before the house number.
 _ADDRESS_LOW = re.compile(r"\s[^\W\d_][^\W\d_'’-]*(?:\s[^\W\d_]+){0,5}(?:\s?,\s?(?:n\.?\s?[º°o]\.?\s?)?|\s(?:n\.?\s?[º°]\.?|número)\s?)\d{1,5}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
@@ -169,12 +168,17 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
         for m in _EMAIL.finditer(text):
             if not re.search(r"(?i)\sat\s", m.group()) or re.search(r"(?i)\sdot\s|\(dot\)|\[dot\]", m.group()):
                 taken.append(("email", *m.span()))
-    for m in _STREET.finditer(text):
-        if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] in "_@."):
-            continue
-        rest = _ADDRESS.match(text, m.end()) or _ADDRESS_LOW.match(text, m.end())
-        if rest and free(m.start(), rest.end()):
-            taken.append(("address", m.start(), rest.end()))
+    # Lower case may change a text's length; then the few street words written otherwise are passed over.
+    low = low if len(low) == len(text) else text
+    for word in _STREETS:
+        at = low.find(word)
+        while at >= 0:
+            end = at + len(word)
+            if (not at or not (text[at - 1].isalnum() or text[at - 1] in "_@.")) and text[end : end + 1].isspace():
+                rest = _ADDRESS.match(text, end) or _ADDRESS_LOW.match(text, end)
+                if rest and free(at, rest.end()):
+                    taken.append(("address", at, rest.end()))
+            at = low.find(word, end)
     if any(s in low for s in _AFTER):
         taken += [("address", *m.span()) for m in _ADDRESS_EN.finditer(text) if free(*m.span())]
     if dates:
@@ -189,7 +193,7 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
         kind = _number_kind(text, m)
         if kind and free(*m.span()):
             taken.append((kind, *m.span()))
-    _names(text, low if len(low) == len(text) else text, taken, free)
+    _names(text, low, taken, free)
     return sorted(taken, key=lambda x: x[1])
 
 
