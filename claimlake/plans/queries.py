@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlake.functions import dates, jsonld, labels, text, urls
 from claimlake.operators import discovery, extraction, ingest, multivalue, processing, profiles, quality, runs, timestamps
+from claimlake.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +17,7 @@ SQL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +25,26 @@ def build_session(master: str = "local[8]", app: str = "claimlake", **conf: str)
     builder = SparkSession.builder.master(master).appName(app)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package, once per application.
+
+    Nothing is sent where they find it anyhow: by ``PYTHONPATH`` or in the working folder.
+    """
+    context, home = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(context, "_claimlake_shipped", False):
+        return
+    context._claimlake_shipped = True
+    known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home.parent in (*known, Path.cwd()):
+        return
+    # Made on the driver; Spark's own file server hands it to the executors.
+    folder = tempfile.mkdtemp(prefix="claimlake-package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/claimlake", "zip", home.parent, home.name))
 
 
 def shared_dir(spark: SparkSession) -> str:
