@@ -10,8 +10,10 @@ addresses are appended, so history is never cut or read as text again.
 
 A chunk by itself may be common ("nao-ha-prova-de-que"); the table keys are the
 whole rest of an address, so their groups stay small.  Groups beyond ``DENSE``
-members are told apart by the left-out bytes with one character dropped, which
-every two spellings one edit apart share; no pair of a group is listed for them.
+members are told apart by the left-out bytes with one character dropped or with their
+characters sorted, which every two spellings of one word share; no pair of a group is
+listed for them.  A cut end is found whatever the groups: a name without its last
+words is looked up among the names.
 """
 
 from __future__ import annotations
@@ -96,8 +98,8 @@ def address(url: str | None) -> tuple[str, str, str, int]:
 def signatures(name: str, scope: str) -> list[tuple[int, int, int]]:
     """``(hash, from, to)`` for each run of up to ``WINDOW`` chunks (``TAIL`` at the end) left out of a name; bytes ``from`` to ``to``.
 
-    A run of no chunk at the end stands for names that only go on.  The rest must be a
-    quarter of the name: what is left out holds whole chunks around a small change.
+    The rest must be a quarter of the name: what is left out holds whole chunks around
+    a small change.
     """
     data = name.encode()
     bounds = [0, *chunk_ends(data)]
@@ -111,8 +113,6 @@ def signatures(name: str, scope: str) -> list[tuple[int, int, int]]:
             a, b = bounds[i], bounds[j]
             if 4 * (b - a) <= 3 * len(data):
                 out.append((xxhash.xxh3_64_intdigest(seed + data[:a] + b"\x00" + data[b:]) - 2**63, a, b))
-    if data:
-        out.append((xxhash.xxh3_64_intdigest(seed + data + b"\x00") - 2**63, len(data), len(data)))
     return out
 
 
@@ -218,11 +218,11 @@ class ChunkIndex:
                 old = self._of_scopes(old, rows)
                 table = table.select(*old.columns).unionByName(old)
             both[kind] = table
-        named = [F.min(c).alias(c) for c in ("name", "place", "words")]
+        named = [F.min(c).alias(c) for c in ("name", "numbers", "place", "words")]
         nodes = materialise(both["nodes"].groupBy("scope", "node").agg(F.min("first").alias("first"), *named), "firsts")
         near = _near(_shared(both["chunks"], nodes))
-        sure = materialise(_same_record(both["ids"]).unionByName(near.filter("spelled").select("a", "b")).distinct(), "sure")
-        cuts = materialise(_cut(near, _heads(sure, nodes)), "cuts")
+        sure = materialise(_same_record(both["ids"]).unionByName(near).distinct(), "sure")
+        cuts = materialise(_cut(_goes_on(nodes), _heads(sure, nodes)), "cuts")
         heads = _heads(sure.unionByName(cuts).distinct(), nodes)
         own = nodes.join(heads, "node", "left").select("scope", "node", F.coalesce("head", "first").alias("head"))
         return rows.join(own, ["scope", "node"]).select(
@@ -243,25 +243,27 @@ def _shared(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
     small part, meet the names.
     """
     counted = chunks.select("node", "sig", "run").withColumn("n", F.count("*").over(Window.partitionBy("sig"))).filter("n > 1")
-    facts = nodes.select("node", "name", "place", "words")
+    facts = nodes.select("node", "name")
     named = materialise(counted, "shared").join(facts, "node")
     start, end = F.shiftright("run", 16).cast("int"), F.col("run").bitwiseAND(0xFFFF).cast("int")
     out = F.decode(F.substr(F.encode("name", "UTF-8"), start + 1, end - start), "UTF-8")
     size = F.octet_length("name").alias("size")
-    return materialise(named.select("sig", "n", "node", F.hash("place").alias("place"), "words", size, out.alias("out")), "left_out")
+    return materialise(named.select("sig", "n", "node", size, out.alias("out")), "left_out")
 
 
 def _near(shared: DataFrame) -> DataFrame:
-    """``a, b, spelled, first, same_place, dropped, onward``: pairs of nodes of which one is spelled like the other, or goes on from it."""
+    """``a, b``: pairs of nodes of which one is spelled like the other."""
     less = F.col("x.node") < F.col("y.node")
     few = shared.filter(f"n <= {DENSE}")
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.sig") == F.col("y.sig")) & less)
-    # In dense groups only spellings one edit apart meet: they share what is left of them without one character.
+    # In dense groups only spellings of one word meet: one edit apart they share what is left of them without one character,
+    # with characters swapped the sorted ones (behind a sign that no name holds).
     places = F.sequence(F.lit(1), F.length("out"))
+    ordered = F.concat(F.lit("\x00"), F.array_join(F.array_sort(F.split("out", "")), ""))
     variants = F.array_distinct(
-        F.concat(F.array("out"), F.transform(places, lambda i: F.concat(F.substring("out", F.lit(1), i - 1), F.substr("out", i + 1))))
+        F.concat(F.array("out", ordered), F.transform(places, lambda i: F.concat(F.substring("out", F.lit(1), i - 1), F.substr("out", i + 1))))
     )
-    dense = shared.filter(f"n > {DENSE}").filter("length(out) > 0").withColumn("variant", F.explode(variants))
+    dense = shared.filter(f"n > {DENSE}").withColumn("variant", F.explode(variants))
     dense = dense.withColumn("m", F.count("*").over(Window.partitionBy("sig", "variant"))).filter("m > 1")
     many = dense.alias("x").join(dense.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.variant") == F.col("y.variant")) & less)
     p, q = F.col("x.out"), F.col("y.out")
@@ -270,29 +272,32 @@ def _near(shared: DataFrame) -> DataFrame:
     # Shared bytes are the rest and what the left-out runs have in common.
     longest = F.greatest("x.size", "y.size")
     spelled = ((gap == 1) | swapped) & (longest - gap >= COVERAGE * longest) & (F.length(p) > 2) & (F.length(q) > 2)
-    # A cut end: the rest of the longer name is what was left out of it, and it begins between words.
-    first = F.startswith(q, p) & (p != q)  # x is the shorter one
-    onward = F.when(first, F.substr(q, F.length(p) + 1)).when(F.startswith(p, q) & (p != q), F.substr(p, F.length(q) + 1))
-    # The words without meaning count here: "and in another place" adds more of them than a cut takes.
-    dropped = F.when(first, F.col("y.words") - F.col("x.words")).otherwise(F.col("x.words") - F.col("y.words"))
-    goes_on = onward.startswith("-") & (dropped <= CUT_WORDS) & (F.regexp_count(onward, F.lit("-")) <= CUT_WORDS)
-    goes_on = F.coalesce(goes_on & (F.least("x.size", "y.size") >= COVERAGE * longest), F.lit(False))
+    kept = lambda found_: found_.filter(spelled).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return materialise(kept(pairs).unionByName(kept(many)), "near")
+
 
-    def kept(found_: DataFrame, cuts: Column) -> DataFrame:
-        facts = F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.place") == F.col("y.place")).alias("same_place")
-        marked = found_.select(*facts, F.coalesce(spelled, F.lit(False)).alias("spelled"), cuts.alias("cut"), first.alias("first"))
-        return marked.filter("spelled OR cut").distinct()
+def _goes_on(nodes: DataFrame) -> DataFrame:
+    """``short, long, same_place``: names that are another name without its last words.
 
-    return materialise(kept(pairs, goes_on).unionByName(kept(many, F.lit(False))), "near")
+    Each name without its last one to ``CUT_WORDS`` words meets the names by their node,
+    so neither the size of a group nor of what was cut off counts.
+    """
+    facts = F.hash("place").alias("place"), "words", F.octet_length("name").alias("size")
+    parts = F.split("name", "-")
+    ends = F.filter(F.transform(F.sequence(F.lit(1), F.lit(CUT_WORDS)), lambda k: F.size(parts) - k), lambda k: k > 0)
+    cut = nodes.select("scope", "numbers", "name", F.col("node").alias("long"), *facts).withColumn("left", F.explode(ends))
+    cut = cut.withColumn("name", F.array_join(F.slice(F.split("name", "-"), F.lit(1), F.col("left")), "-")).filter(F.octet_length("name") >= COVERAGE * F.col("size"))
+    cut = cut.select(F.xxhash64("scope", "numbers", "name").alias("node"), "long", F.col("place").alias("long_place"), F.col("words").alias("long_words"))
+    # The words without meaning count here: "and in another place" adds more of them than a cut takes.
+    met = cut.join(nodes.select("node", *facts), "node").filter(F.col("long_words") - F.col("words") <= CUT_WORDS)
+    return met.select(F.col("node").alias("short"), "long", (F.col("place") == F.col("long_place")).alias("same_place"))
 
 
-def _cut(near: DataFrame, heads: DataFrame) -> DataFrame:
+def _cut(cut: DataFrame, heads: DataFrame) -> DataFrame:
     """Edges from a name whose end was cut off to the one article that goes on from it.
 
-    ``heads`` joins the spellings of one article, which count once.
+    ``cut`` is as ``_goes_on`` gives it; ``heads`` joins the spellings of one article, which count once.
     """
-    short, long = F.when(F.col("first"), F.col("a")).otherwise(F.col("b")), F.when(F.col("first"), F.col("b")).otherwise(F.col("a"))
-    cut = near.filter("cut").select(short.alias("short"), long.alias("long"), "same_place").distinct()
     # A cut address that several articles go on from names none of them, unless only one is filed in its place.
     article = F.coalesce(F.hash("head"), F.hash("long"))
     votes = (

@@ -65,6 +65,15 @@ def test_dense_groups_find_spellings(spark):
     assert got.get(len(places)) == "i4"
 
 
+def test_dense_groups_find_cuts_and_swaps(spark):
+    """Cut ends and swapped characters are found however many names share the beginning."""
+    stem = "checamos-se-pilula-de-vinagre-cura-anemia-em-tres-dias-em-vila-"
+    places = [f"{a}{b}{c}tu" for a in ("ba", "ce", "di") for b in ("fo", "gu", "la") for c in ("mi", "no", "pe")]
+    rows = [BASE + stem + p for p in places] + [f"{BASE}{stem}{p}-zulmira{'-antiga' * (n % 2)}" for n, p in enumerate(places)] + [BASE + stem + "tagunobu"]
+    got = run(spark, [(f"i{i}", r) for i, r in enumerate(rows)])
+    assert got == {len(places) + n: f"i{n}" for n in range(len(places))} | {2 * len(places): "i4"}
+
+
 def test_index_is_persistent(spark, tmp_path):
     index = h.ChunkIndex(spark, f"file://{tmp_path}/index")
     rows = lambda pairs: h.records(spark.createDataFrame([("a", i, BASE + u, n) for n, (i, u) in enumerate(pairs)], "s string, i string, u string, n int"), "s", "i", "u", "n")
