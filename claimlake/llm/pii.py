@@ -40,7 +40,6 @@ STREETS = (
 )
 _STREETS = tuple(sorted(STREETS, key=len, reverse=True))
 STREETS_AFTER = ("street", "st.", "road", "rd.", "avenue", "ave.", "lane", "drive")
-_AFTER = tuple(f" {s}" for s in STREETS_AFTER)
 
 # What announces a person's name, in Portuguese, Spanish and English.
 NAME_CUES = (
@@ -107,15 +106,21 @@ _ADDRESS = re.compile(rf"\s(?:{_LINK}\s)*{_CAP}(?:\s(?:{_LINK}\s)*{_CAP}){{0,5}}
 _ADDRESS_LOW = re.compile(r"\s[^\W\d_][^\W\d_'’-]*(?:\s[^\W\d_]+){0,5}(?:\s?,\s?(?:n\.?\s?[º°o]\.?\s?)?|\s(?:n\.?\s?[º°]\.?|número)\s?)\d{1,5}(?![\w]|[.,:/h]\d|\s(?:de|horas)\s)")
 _ADDRESS_EN = re.compile(rf"(?<![\w@.])\d{{1,5}}\s{_CAP}(?:\s{_CAP}){{0,3}}\s(?i:{'|'.join(re.escape(s) for s in STREETS_AFTER)})(?!\w)")
 _CUE = re.compile("(?i)(?:%s)" % "|".join(NAME_CUES))
-#: No cue without one of these; most texts have none.
+#: No cue without one of these at the beginning of a word (or anywhere, the bracket); most texts have few.
 _CUE_PARTS = (
-    "sr.", "sr ", "sra", "srta", "dr.", "dr ", "dra", "prof.", "profa", "prof ", "mr.", "mr ", "mrs", "ms.", "ms ", "dom ", " d. ", "senhor", "dona ", "doña", "doutor", " seu ",
-    "señor", "falar com", "fale com", "falou com", "falei com", "falamos com", "entre ela", "entre ele", "entre ella", "assinatura de", "firma de", "assinado por",
+    "sr", "dr", "mr", "ms", "prof ", "prof.", "profª", "profa", "dom ", "dom.", "domª", "d ", "d.", "dª", "senhor", "dona ", "doña ", "doutor", "seu ", "señor",
+    "falar com", "fale com", "falou com", "falei com", "falamos com", "entre el", "assinatura de", "firma de", "assinado por",
     "assinada por", "firmado por", "firmada por", "nome", "nombre", "name", "me chamo", "me llamo", "enviado por", "enviada por", "mandado por", "mandada por",
     "escrito por", "escrita por", "recebido por", "recebida por", "encaminhado por", "encaminhada por", "lo envió", "the sender", "signed by", "sent by",
-    "written by", "remetente", "destinatári", "titular", "responsável:", "contato:", "assinante", "remitente", "sender:", "paciente:", "morador:", "cliente:",
+    "written by", "remetente", "destinatári", "titular", "responsável", "contato", "assinante", "remitente", "sender", "paciente", "morador", "cliente",
     "ask for", "pregunte por", "procure por", "procurar por", "speak to", "speak with", "talk to", "talk with", "hablar con", "[",
 )
+#: Between the part and the colon of a cue.
+_TO_COLON = re.compile(r"\w?\s*")
+#: No "at" of a disguised address without one of these, an "@" or an "arroba".
+_AT_WORD = re.compile(r"[\[({<]\s?at?\s?[\])}>]|\sat\s")
+#: Letters that match a plain one when case is ignored, though their lower case is another or longer.
+_PLAIN = {"İ": "i", "ı": "i", "ſ": "s"}
 _CLOCK_LINE = re.compile(r"\d:\d{2} - ")
 _NAME_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _BIRTH = re.compile(r"(?i)\b(?:nascid[oa](?: em)?|nascimento:?|d\.?n\.?:?|nacid[oa](?: el)?|born(?: on)?)\s+(\d{1,2}[/.-]\d{1,2}[/.-]\d{4})")
@@ -163,13 +168,15 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
     def free(start: int, end: int) -> bool:
         return all(end <= s or start >= e for _, s, e in taken)
 
-    low = text.lower()
-    if "@" in text or "arroba" in low or any(s in low for s in (" at ", "(at)", "[at]", "{at}", "<at>", "(a)", "[a]")):
+    # Offsets in lower case are those of the text: only the lower case of "İ" is longer.
+    low = text
+    for letter, plain in _PLAIN.items():
+        low = low.replace(letter, plain)
+    low = low.lower()
+    if "@" in text or "arroba" in low or _AT_WORD.search(low):
         for m in _EMAIL.finditer(text):
             if not re.search(r"(?i)\sat\s", m.group()) or re.search(r"(?i)\sdot\s|\(dot\)|\[dot\]", m.group()):
                 taken.append(("email", *m.span()))
-    # Lower case may change a text's length; then the few street words written otherwise are passed over.
-    low = low if len(low) == len(text) else text
     for word in _STREETS:
         at = low.find(word)
         while at >= 0:
@@ -179,7 +186,7 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
                 if rest and free(at, rest.end()):
                     taken.append(("address", at, rest.end()))
             at = low.find(word, end)
-    if any(s in low for s in _AFTER):
+    if any(s in low for s in STREETS_AFTER):
         taken += [("address", *m.span()) for m in _ADDRESS_EN.finditer(text) if free(*m.span())]
     if dates:
         taken += [("date", *m.span(1)) for m in _BIRTH.finditer(text)]
@@ -203,8 +210,10 @@ def _names(text: str, low: str, taken: list[tuple[str, int, int]], free: Callabl
     for part in _CUE_PARTS:
         at = low.find(part)
         while at >= 0:
-            # The cue lies around its part.
-            starts.update(m.end() for m in _CUE.finditer(text, max(0, at - 16), at + len(part) + 24))
+            # The cue lies around its part, whatever the blanks before its colon.
+            if part == "[" or not at or not (low[at - 1].isalnum() or low[at - 1] == "_"):
+                end = at + len(part)
+                starts.update(m.end() for m in _CUE.finditer(text, max(0, at - 16), max(end + 24, _TO_COLON.match(text, end).end() + 2)))
             at = low.find(part, at + 1)
     starts.update(m.end() for m in _CLOCK_LINE.finditer(text))
     for start in sorted(starts):

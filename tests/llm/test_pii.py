@@ -27,6 +27,36 @@ def test_pieces(text, want):
     assert [(k, text[a:b]) for k, a, b in p.find(text)] == want
 
 
+CUED = [
+    "Seu Joao Silva", "D. Maria Souza", "disse.\nSeu Joao Silva", "“Seu Joao Silva", "(D. Maria Souza", "contato : Joao Silva", f"paciente{' ' * 60}: Joao Silva", "a Drª Maria Souza",
+    "Dom. Joao Silva", "entre eles Joao Silva", "İ o Sr. Joao Silva", "İ Nome: Joao Silva", "TİTULAR: Joao Silva", "name\t: Joao Silva", "destinatária  : Maria Souza",
+]
+
+
+@pytest.mark.parametrize("text", CUED)
+def test_cues_are_found_wherever_they_stand(text):
+    assert [(k, text[a:b]) for k, a, b in p.find(text)] == [("name", text[-11:] if "Maria" in text else text[-10:])]
+
+
+@pytest.mark.parametrize("sign", ["{a}", "<a>", "[ a ]", "( at )", "< at >", "(a )", "\u00a0at\n"])
+def test_every_disguised_at(sign):
+    text = f"escreva a ana.lima{sign}carta (dot) example"
+    assert p.find(text) == [("email", 10, len(text))]
+
+
+def test_a_letter_that_grows_in_lower_case():
+    text = "İstanbul: Rua das Andorinhas, nº 380"
+    assert p.find(text) == [("address", 10, len(text))]
+    assert p.find("at 12 Baker\nStreet") == [("address", 3, 18)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["seu", "D.", "Sr", "ª", "a", "Nome", " completo", "É", ":", "titular", "fale com", "[10:20]", "\n", " ", "  ", "(", "İ", "Ana Lima", "por", "assinado", "em nome de"]), max_size=12))
+def test_quick_look_for_cues_loses_none(words):
+    text = "".join(words)
+    assert {m.end() for m in p._CUE.finditer(text) if p._name_at(text, m.end())} <= {a for k, a, _ in p.find(text) if k == "name"}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text("0123456789", min_size=1, max_size=22), st.binary(min_size=1, max_size=8))
 def test_feistel_round_trip(digits, key):
