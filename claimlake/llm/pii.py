@@ -72,10 +72,13 @@ _LINKS = frozenset("de da do dos das di del della van von y la".split())
 _AT = r"(?:@|\s@\s|\s?[\[({<]\s?(?:arroba|at|a|@)\s?[\])}>]\s?|\s(?:arroba|at)\s)"
 _DOT = r"(?:\.|\s?[\[({<]\s?(?:ponto|punto|dot|\.)\s?[\])}>]\s?|\s(?:ponto|punto|dot)\s)"
 _EMAIL = re.compile(rf"(?i)(?<![\w.+%-])[a-z0-9À-ÿ][\wÀ-ÿ.+%-]*{_AT}[a-z0-9](?:[a-z0-9-]*[a-z0-9])?(?:{_DOT}[a-z0-9](?:[a-z0-9-]*[a-z0-9])?)+(?![\w@])")
-#: Numbers are looked for by their digits and then widened to what belongs to them on the left.
-_DIGITS = re.compile(r"\d[\d .\-()/]{4,24}[\dXx]")
+#: Runs of numbers are looked for by their digits; each number in one is then widened to what belongs to it on the left.
+_RUN = re.compile(r"\d[\d .\-()/]{3,}[\dXx]")
+_TOKEN = re.compile(r"\d+(?:-?[Xx](?![\w@]))?")
 _LEAD = re.compile(r"(?:\+ ?\(?|\(\+?|[A-Z]{1,3}-?)$")
-_NUMBER = re.compile(r"(?:[A-Z]{1,3}-?\d{5,9}|(?:\+ ?|00)?\(?\+?\d[\d .\-()/]{5,24}[\dXx])(?![\w@]|[./,-]\d)")
+#: What a number looks like, and what may not stand behind one.
+_NUMBER = re.compile(r"[A-Z]{1,3}-?\d{5,9}|(?:\+ ?|00)?\(?\+?\d[\d .\-()/]{5,24}[\dXx]")
+_GOES_ON = re.compile(r"[\w@]|[./,-]\d")
 _PHONES = tuple(
     re.compile(rx)
     for rx in (
@@ -94,6 +97,7 @@ _IDS = tuple(
     re.compile(rx)
     for rx in (r"\d{3}\.\d{3}\.\d{3}[-.]\d{2}", r"\d{3} \d{3} \d{3} \d{2}", r"\d{1,2}\.\d{3}\.\d{3}-[\dXx]", r"\d{4} \d{4} \d{4}", r"\d{3}\.\d{5}\.\d{2}-\d")
 )
+_EXACT = re.compile("|".join(f"(?:{rx.pattern})" for rx in (*_PHONES, *_IDS)))
 #: Forms that are an identity number only after a word that says so.
 _ID_FORMS = re.compile(r"[A-Z]{1,3}-?\d{5,9}|\d[\d .\-]{4,18}[\dXx]")
 _ID_BEFORE = re.compile(r"(?i)(?<!\w)(?:%s)\b[^\w\n]{0,3}(?:n\.?\s?[º°o.]{0,2}\s?|número\s|numero\s|number\s|no\.\s|nº\s)?[^\w\n]{0,2}$" % "|".join(sorted(map(re.escape, ID_LABELS), key=len, reverse=True)))
@@ -190,16 +194,8 @@ def find(text: str | None, dates: bool = False) -> list[tuple[str, int, int]]:
         taken += [("address", *m.span()) for m in _ADDRESS_EN.finditer(text) if free(*m.span())]
     if dates:
         taken += [("date", *m.span(1)) for m in _BIRTH.finditer(text)]
-    for digits in _DIGITS.finditer(text):
-        start = digits.start()
-        lead = _LEAD.search(text, max(0, start - 4), start)
-        start = lead.start() if lead else start
-        m = _NUMBER.match(text, start)
-        if not m or (start and (text[start - 1].isalnum() or text[start - 1] in "_@#/.,+-")):
-            continue
-        kind = _number_kind(text, m)
-        if kind and free(*m.span()):
-            taken.append((kind, *m.span()))
+    for run in _RUN.finditer(text):
+        taken += [piece for piece in _numbers(text, *run.span()) if free(*piece[1:])]
     _names(text, low, taken, free)
     return sorted(taken, key=lambda x: x[1])
 
@@ -229,11 +225,63 @@ def _names(text: str, low: str, taken: list[tuple[str, int, int]], free: Callabl
                 break
 
 
-def _number_kind(text: str, m: re.Match) -> str | None:
-    value, before = m.group(), text[max(0, m.start() - 40) : m.start()]
-    if _OTHER_BEFORE.search(before):
+def _numbers(text: str, first: int, last: int) -> list[tuple[str, int, int]]:
+    """The phone and identity numbers of a run of numbers, each the longest that begins where it does.
+
+    Groups of digits with blanks between them might be a part of a longer number: such
+    a piece has no other digits a blank away, unless they are a piece of their own.
+    """
+    tokens = [m.span() for m in _TOKEN.finditer(text, first, last)]
+    best: dict[int, tuple[str, int, int]] = {}
+    # From the right, so that what follows a piece is known.
+    for i in range(len(tokens) - 1, -1, -1):
+        at = tokens[i][0]
+        lead = _LEAD.search(text, max(0, at - 4), at)
+        start = lead.start() if lead else at
+        if start and (text[start - 1].isalnum() or text[start - 1] in "_@#/.,+-"):
+            continue
+        before = text[max(0, start - 40) : start]
+        labels = None
+        # No number has more tokens than _NUMBER has characters.
+        ends = [k for k in range(i, min(i + 30, len(tokens))) if not _GOES_ON.match(text, tokens[k][1])]
+        for exact in (True, False):
+            for k in reversed(ends):
+                value = text[start : tokens[k][1]]
+                if not _NUMBER.fullmatch(value) or not (_EXACT if exact else _ID_FORMS).fullmatch(value):
+                    continue
+                if labels is None:
+                    labels = bool(_OTHER_BEFORE.search(before)), bool(_ID_BEFORE.search(before))
+                kind = _number_kind(value, before, *labels) if exact or labels[1] else None
+                # What only its label makes an identity number doesn't reach into a piece behind it.
+                inner = not exact and any(best[j][2] >= tokens[k][1] for j in range(i + 1, k + 1) if j in best)
+                part = exact and _loose(value) and _touches(text, tokens, k) and k + 1 not in best
+                if kind and not inner and not part:
+                    best[i] = kind, start, tokens[k][1]
+                    break
+            if i in best:
+                break
+    pieces_: list[tuple[str, int, int]] = []
+    for i, piece in sorted(best.items()):
+        end = pieces_[-1][2] if pieces_ else -1
+        if piece[1] >= end and not (i and _loose(text[piece[1] : piece[2]]) and _touches(text, tokens, i - 1) and tokens[i - 1][1] != end):
+            pieces_.append(piece)
+    return pieces_
+
+
+def _loose(value: str) -> bool:
+    """Whether a number is held together by blanks alone."""
+    return " " in value and value.replace(" ", "").isdigit()
+
+
+def _touches(text: str, tokens: list[tuple[int, int]], k: int) -> bool:
+    """Whether only a blank stands between two tokens of a run."""
+    return k + 1 < len(tokens) and text[tokens[k][1] : tokens[k + 1][0]] == " "
+
+
+def _number_kind(value: str, before: str, other: bool, labelled: bool) -> str | None:
+    if other:
         return None
-    if _ID_BEFORE.search(before) and _ID_FORMS.fullmatch(value):
+    if labelled and _ID_FORMS.fullmatch(value):
         return "id_number"
     if any(rx.fullmatch(value) for rx in _IDS):
         return "id_number"

@@ -50,6 +50,21 @@ def test_a_letter_that_grows_in_lower_case():
     assert p.find("at 12 Baker\nStreet") == [("address", 3, 18)]
 
 
+NEIGHBOURS = [
+    ("(11) 91234-5678 / (11) 98765-4321", [("phone", "(11) 91234-5678"), ("phone", "(11) 98765-4321")]), ("11 91234-5678. 20 pessoas", [("phone", "11 91234-5678")]),
+    ("sala #12 11 98765-4321", [("phone", "11 98765-4321")]), ("249.527.389-28 111.222.333-44", [("id_number", "249.527.389-28"), ("id_number", "111.222.333-44")]),
+    ("CPF 249.527.389-28 / 111.222.333-44.", [("id_number", "249.527.389-28"), ("id_number", "111.222.333-44")]), ("CPF 25083010285 11 91234-5678", [("id_number", "25083010285"), ("phone", "11 91234-5678")]),
+    ("841 752 396 73 5328 6088 7112", [("id_number", "841 752 396 73"), ("id_number", "5328 6088 7112")]), ("processo 1234 11 91234-5678", [("phone", "11 91234-5678")]),
+    (" ".join(["11 91234-5678"] * 9), [("phone", "11 91234-5678")] * 9), ("passaporte AB12345, já", [("id_number", "AB12345")]), ("RG 1234567 (11) 3157-5664", [("id_number", "1234567"), ("phone", "(11) 3157-5664")]),
+    ("código de barras 7891 2345 6789 0123", []), ("cartão 4111 1111 1111 1111", []), ("entre 10/05/2021 e 12 345 678 901 2", []), ("20 1234 5678 9012", []), ("RG 14.470.845-X, (11) 3157-5664", [("id_number", "14.470.845-X"), ("phone", "(11) 3157-5664")]), ("documento 5328 6088 7112 44 9", [("id_number", "5328 6088 7112 44 9")]),
+]
+
+
+@pytest.mark.parametrize(("text", "want"), NEIGHBOURS)
+def test_neighbouring_numbers(text, want):
+    assert [(k, text[a:b]) for k, a, b in p.find(text)] == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["seu", "D.", "Sr", "ª", "a", "Nome", " completo", "É", ":", "titular", "fale com", "[10:20]", "\n", " ", "  ", "(", "İ", "Ana Lima", "por", "assinado", "em nome de"]), max_size=12))
 def test_quick_look_for_cues_loses_none(words):
