@@ -7,6 +7,9 @@ has as many signatures as it has format and year combinations, however many
 rows it holds.  Only the signature counts are shuffled; EM runs on them and
 learns, per source, how common each format and each year is.  The posterior
 then chooses each value's reading, and a reading without a clear lead is marked.
+
+With ``day_first`` the formats exclude one another, so each value has at most one
+reading and EM has nothing to choose; it acts where the order of numbers is open.
 """
 
 from __future__ import annotations
