@@ -179,7 +179,7 @@ _RESULT = T.StructType().add("kind", "string").add("score", "double").add("windo
 
 
 def _counts(fields: DataFrame, index: ExemplarIndex) -> tuple[dict[str, int], int]:
-    """Document frequencies of the index's tokens over all fields; as many rows as the index has tokens."""
+    """Document frequencies of the index's tokens, as ``classify`` compares them, over all fields; as many rows as the index has tokens."""
     known = index.known
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,8 +187,7 @@ def _counts(fields: DataFrame, index: ExemplarIndex) -> tuple[dict[str, int], in
         for batch in batches:
             seen["⟦n⟧"] += len(batch)
             for text in batch["value"]:
-                low = text.lower()
-                seen.update(known.intersection(_TOKEN.findall(low)))
+                seen.update(known.intersection(tokens(_mark(text))))
         yield pd.DataFrame({"token": list(seen), "n": list(seen.values())}).astype({"token": str, "n": "int64"})
 
     rows = fields.select("value").mapInPandas(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()

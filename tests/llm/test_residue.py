@@ -39,3 +39,9 @@ def test_signs_are_no_placeholders(text):
     index = r.ExemplarIndex()
     index.weigh({}, 100)
     assert index.classify(text)[0] is None
+
+
+def test_frequencies_count_what_is_compared(spark):
+    index = r.ExemplarIndex({"error": ("Erro 404",)})
+    fields = spark.createDataFrame([("Erro 12",), ("em 7 de maio",), ("sem nada",)], "value string")
+    assert r._counts(fields, index) == ({"erro": 1, "0": 2}, 3)
