@@ -1,46 +1,47 @@
 """New batches checked for duplicates and near-duplicates against everything already accepted.
 
-Method: content-defined chunking.  An address is brought to canonical form and cut
-into chunks where a rolling hash of its last bytes says so, so that a change moves
-only the chunks around it.  A persistent table holds, for every accepted address,
-hashes of its chunk sequence with each run of up to three chunks left out, together
-with what was left out.  Two addresses that meet in one of them share all other
-bytes; coverage (shared bytes by all bytes) and what differs decide.  Accepted
-addresses are appended, so history is never cut or read as text again.
-
-A chunk by itself may be common ("nao-ha-prova-de-que"); the table keys are the
-whole rest of an address, so their groups stay small.  Groups beyond ``DENSE``
-members are told apart by the left-out bytes with one character dropped or with their
-characters sorted, which every two spellings of one word share; no pair of a group is
-listed for them.  A cut end is found whatever the groups: a name without its last
-words is looked up among the names.
+Method: content-defined chunking.  An address is brought to canonical form and its
+name is cut into chunks where a rolling hash of its last bytes says so, so that a
+change moves only the ends near it.  A chunk's hash is chained to the chunks before
+it, and once more to those after it: two names share the chained chunks of their
+common beginning and end.  A persistent table leads from each chunk to the records
+that hold it, with its bytes.  A batch reads only the rows of its own chunks; per
+pair of records the bytes of shared chunks are summed, their share of the shorter
+record decides, and what differs is checked exactly (one edit, or a cut end).
+Accepted records are appended with the record they were tied to, so history is
+never cut, compared or tied again.
+
+A chunk at the beginning of many names isn't listed for all of them.  One edit leaves
+a chunk before it and one after it in common, so for every place it may have only the
+rarer of both is looked up.  Where even that one has more than ``LISTED`` records, the
+rests of these records meet by what one edit leaves of them; both ways find the same
+pairs.  The tables are bucketed by their keys: a check moves the batch, not the history.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 from urllib.parse import parse_qsl, unquote, urlsplit
 
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlake.session import materialise, shared_dir
 
-#: Least share of an address's bytes that two records of one article have in common; longest run of chunks left out,
-#: and the longest at the end; members of a group from which on left-out bytes are compared by dropped characters;
-#: words that may be cut off an end.
-COVERAGE, WINDOW, TAIL, DENSE, CUT_WORDS = 0.6, 3, 6, 16, 2
+#: Least share of the shorter record's bytes that two records of one article have in common; records of a chunk up to
+#: which they are listed one by one; words that may be cut off an end; rows of a batch up to which its keys are broadcast.
+COVERAGE, LISTED, CUT_WORDS, BROADCAST_ROWS = 0.2, 64, 2, 200_000
 
-#: Up to this many scopes of a batch are looked up by folder.
-MAX_FOLDERS = 1000
+#: Least share of a name that is left where its end was cut off.
+CUT_SHARE = 0.6
 
-#: Stands for a missing scope, which a folder name can't.
+#: Stands for a missing scope.
 NO_SCOPE = "(none)"
 
 # Query parameters that track, parts of host and path that only choose a rendering, words that mark a revision,
@@ -95,39 +96,63 @@ def address(url: str | None) -> tuple[str, str, str, int]:
     return "-".join(named), " ".join(numbers), "/".join(segments), count
 
 
-def signatures(name: str, scope: str) -> list[tuple[int, int, int]]:
-    """``(hash, from, to)`` for each run of up to ``WINDOW`` chunks (``TAIL`` at the end) left out of a name; bytes ``from`` to ``to``.
+_PIECE = "key long, node long, place int, bytes int, till int, size int, mate int, last boolean, ends array<int>"
 
-    The rest must be a quarter of the name: what is left out holds whole chunks around
-    a small change.
+
+def pieces(name: str, seed: int) -> list[tuple[int, int, int, int, int, bool, list[int]]]:
+    """``(key, place, bytes, till, mate, last, ends)`` of each chained chunk of a name.
+
+    ``place`` is the number of chunks up to the end of one that is chained to the
+    beginning, and minus that number for the one that begins there and is chained to
+    the end; ``till`` counts the bytes of the chain.  ``mate`` of the former is the
+    place where the chain from the end goes on behind one edit of the next chunk (0 if
+    the edit may reach the end), of the latter 1 if an edit of the first chunk leaves it.
+    ``last`` marks the last chunk that a longer name shares, ``ends`` the sizes of the
+    names without the last words whose ``last`` chunk this is.
     """
     data = name.encode()
-    bounds = [0, *chunk_ends(data)]
-    last, seed = len(bounds) - 1, scope.encode() + b"\x00"
-    out = []
-    for i in range(last):
-        longest = TAIL if last - i <= TAIL else WINDOW
-        for j in range(i + 1, min(i + longest, last) + 1):
-            if j - i > WINDOW and j < last:
-                continue
-            a, b = bounds[i], bounds[j]
-            if 4 * (b - a) <= 3 * len(data):
-                out.append((xxhash.xxh3_64_intdigest(seed + data[:a] + b"\x00" + data[b:]) - 2**63, a, b))
+    size, bounds = len(data), [0, *chunk_ends(data)]
+    count = len(bounds) - 1
+    # A swap covers two characters, and an end depends on the last five bytes.
+    reach = 4 + 2 * (1 if name.isascii() else 4)
+    cut, cuts = size, []
+    for _ in range(CUT_WORDS):
+        cut = data.rfind(b"-", 0, cut)
+        if cut <= 0:
+            break
+        cuts.append(cut)
+
+    def behind(i: int) -> int:
+        """The place behind an edit of the chunk that begins at place ``i``."""
+        j = bisect.bisect_left(bounds, bounds[i + 1] + reach)
+        return j if j < count else 0
+
+    out, chain = [], seed
+    for i in range(1, count):
+        chain = xxhash.xxh64_intdigest(data[bounds[i - 1] : bounds[i]], seed=chain)
+        ends = [c for c in cuts if bounds[i] < c <= bounds[i + 1]]
+        out.append((chain - 2**63, i, bounds[i] - bounds[i - 1], bounds[i], behind(i), i == count - 1, ends))
+    chain, first = seed ^ 0xFFFFFFFF, behind(0)
+    for i in range(count - 1, 0, -1):
+        chain = xxhash.xxh64_intdigest(data[bounds[i] : bounds[i + 1]], seed=chain)
+        out.append((chain - 2**63, -i, bounds[i + 1] - bounds[i], size - bounds[i], int(i == first), False, []))
     return out
 
 
-def _flat_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, scope, numbers, name`` to one row ``scope, node, sig, run`` per signature; ``run`` packs both offsets."""
+def _flat_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, scope, numbers, name`` to one row of ``_PIECE`` per chained chunk."""
+    schema = pa.schema([
+        ("key", pa.int64()), ("node", pa.int64()), ("place", pa.int32()), ("bytes", pa.int32()), ("till", pa.int32()),
+        ("size", pa.int32()), ("mate", pa.int32()), ("last", pa.bool_()), ("ends", pa.list_(pa.int32())),
+    ])
     for batch in batches:
-        scopes, nodes, sigs, runs = [], [], [], []
+        columns: list[list] = [[] for _ in schema]
         for node, scope, numbers, name in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            found_ = signatures(name, f"{scope}\x00{numbers}")
-            scopes += [scope] * len(found_)
-            nodes += [node] * len(found_)
-            sigs += [s for s, _, _ in found_]
-            runs += [a << 16 | min(b, 0xFFFF) for _, a, b in found_]
-        columns = [pa.array(scopes, pa.string()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(runs, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["scope", "node", "sig", "run"])
+            size = len(name.encode())
+            for key, place, own, till, mate, last, ends in pieces(name, xxhash.xxh64_intdigest(f"{scope}\x00{numbers}")):
+                for column, value in zip(columns, (key, node, place, own, till, size, mate, last, ends), strict=True):
+                    column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 _ADDRESS = T.StructType().add("name", "string").add("numbers", "string").add("place", "string").add("words", "integer")
@@ -152,187 +177,296 @@ def records(df: DataFrame, scope: str, record: str, url: str, rank: str) -> Data
 
 
 class ChunkIndex:
-    """The persistent tables of accepted records: ``nodes``, ``ids`` and ``chunks``, each a folder of Parquet parts by scope.
-
-    Appending writes new parts; checking a batch reads only the parts of its scopes,
-    and of ``chunks`` only hashes and left-out bytes.  A part that was written by a
-    job that failed is never committed, so a check sees whole batches.
+    """The persistent tables of accepted records, each bucketed by its first column.
+
+    ``chunks`` leads from a chunk (or a record's id) to the names that hold it,
+    ``nodes`` from a name to the accepted record of its article, ``moves`` from an
+    article to the one it turned out to be.  A batch is written under a number of its
+    own and seen once its marker stands: what a failed job left behind never counts.
+    ``path`` keeps an index beyond the session; without it the index ends with it.
+    ``buckets`` counts when an index is made, by default as many as the session's shuffle partitions.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
-        self.spark, self.path, self.batches = spark, path or f"{shared_dir(spark)}/chunks", 0
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        home = hadoop.Path(self.path)
-        fs = home.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(home):
-            self.batches = sum(1 for s in fs.listStatus(home) if fs.exists(hadoop.Path(s.getPath(), "done")))
+    def __init__(self, spark: SparkSession, path: str | None = None, *, buckets: int | None = None, listed: int = LISTED) -> None:
+        self.spark, self.path, self.listed = spark, path or f"{shared_dir(spark)}/chunks", listed
+        self._name = f"chunk_index_{xxhash.xxh64_hexdigest(self.path)}"
+        held = self._markers("buckets")
+        if not held:
+            held = [buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))]
+            self._mark("buckets", held[0])
+        self.buckets = held[0]
 
-    def _table(self, kind: str, like: DataFrame) -> DataFrame | None:
-        """One table over all committed batches; each is read by its own schema, so that an empty part is no matter."""
-        parts = [self.spark.read.schema(like.schema).parquet(f"{self.path}/batch-{n}/{kind}") for n in range(self.batches)]
-        return reduce(DataFrame.unionByName, parts) if parts else None
-
-    @staticmethod
-    def _of_scopes(table: DataFrame, rows: DataFrame) -> DataFrame:
-        """The part of a stored table that a batch can meet: by folder where its scopes are few, else by a join."""
-        scopes = rows.select("scope").distinct()
-        names = [r["scope"] for r in scopes.limit(MAX_FOLDERS + 1).collect()]
-        if len(names) > MAX_FOLDERS:
-            return table.join(scopes, "scope", "left_semi")
-        return table.filter(F.col("scope").isin(names))
+    # What is stored
 
-    @staticmethod
-    def describe(rows: DataFrame) -> dict[str, DataFrame]:
-        """The three tables of a set of records."""
-        first = F.min(F.struct("rank", "record")).alias("first")
-        nodes = rows.groupBy("scope", "node").agg(
-            first, F.first("name").alias("name"), F.first("numbers").alias("numbers"), F.min(F.struct("rank", "place"))["place"].alias("place"), F.min("words").alias("words")
-        )
-        nodes = materialise(nodes, "nodes")
-        ids = rows.filter("record <> ''").groupBy("scope", "record", "node").agg(F.min("rank").alias("rank"))
-        flat = nodes.select("node", "scope", "numbers", "name")
-        chunks = flat.mapInArrow(_flat_signatures, "scope string, node long, sig long, run long")
-        return {"nodes": nodes, "ids": ids, "chunks": chunks}
+    def _markers(self, kind: str) -> list[int]:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        home = hadoop.Path(f"{self.path}/{kind}")
+        fs = home.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(home)) if fs.exists(home) else []
+
+    def _mark(self, kind: str, number: int) -> None:
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/{number}")
+        marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(marker).close()
+
+    @property
+    def batches(self) -> int:
+        """How many batches have been accepted."""
+        return len(self._markers("done"))
+
+    def _begin(self) -> int:
+        number = max([0, *self._markers("begun")]) + 1
+        self._mark("begun", number)
+        return number
+
+    def _insert(self, kind: str, rows: DataFrame, number: int) -> None:
+        by, table = rows.columns[0], f"{self._name}_{kind}"
+        rows = rows.withColumn("batch", F.lit(number))
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        place = f"{self.path}/{kind}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet CLUSTERED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+        rows.repartition(self.buckets, by).write.insertInto(table)
+        self.spark.catalog.refreshTable(table)
+        self._mark(f"kinds/{kind}", number)
+
+    def _stored(self, kind: str, *also: int) -> DataFrame | None:
+        """A table over the accepted batches and those given; None if there is none of them."""
+        numbers = [n for n in self._markers(f"kinds/{kind}") if n in {*self._markers("done"), *also}]
+        if not numbers:
+            return None
+        table = f"{self._name}_{kind}"
+        if not self.spark.catalog.tableExists(table):  # another session made it
+            place = f"{self.path}/{kind}"
+            like, by = self.spark.read.parquet(place), {"chunks": "key", "nodes": "node", "moves": "root"}[kind]
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema)
+            self.spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet CLUSTERED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+        return self.spark.table(table).filter(F.col("batch").isin(numbers))
+
+    # A batch
 
     def append(self, rows: DataFrame) -> None:
-        """Adds accepted records (as ``records`` gives them)."""
-        home = f"{self.path}/batch-{self.batches}"
-        for kind, table in self.describe(rows).items():
-            table.write.partitionBy("scope").mode("overwrite").parquet(f"{home}/{kind}")
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        done = hadoop.Path(f"{home}/done")
-        done.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(done).close()
-        self.batches += 1
+        """Adds records (as ``records`` gives them), each tied to the accepted record of its article."""
+        number, nodes, ties, moves = self._tie(rows)
+        self._insert("nodes", nodes.join(ties, "node").select("node", "name", "place", "words", F.col("label.root").alias("root"), F.col("label").alias("label")), number)
+        if moves is not None:
+            self._insert("moves", moves, number)
+        self._mark("done", number)
 
     def check(self, rows: DataFrame) -> DataFrame:
         """``scope, record, rank, accepted``: for each record of a batch the accepted record of its article, null for a first one.
 
-        The accepted record is the least by ``rank`` of all records whose addresses or
-        ids link them, in history or in the batch.
+        The accepted record is the stored one of all records whose addresses or ids
+        link them, else the least by ``rank`` of the batch's own.  Nothing is added.
         """
-        new = self.describe(rows)
-        both = {}
-        for kind, table in new.items():
-            old = self._table(kind, table)
-            if old is not None:
-                old = self._of_scopes(old, rows)
-                table = table.select(*old.columns).unionByName(old)
-            both[kind] = table
-        named = [F.min(c).alias(c) for c in ("name", "numbers", "place", "words")]
-        nodes = materialise(both["nodes"].groupBy("scope", "node").agg(F.min("first").alias("first"), *named), "firsts")
-        near = _near(_shared(both["chunks"], nodes))
-        sure = materialise(_same_record(both["ids"]).unionByName(near).distinct(), "sure")
-        cuts = materialise(_cut(_goes_on(nodes), _heads(sure, nodes)), "cuts")
-        heads = _heads(sure.unionByName(cuts).distinct(), nodes)
-        own = nodes.join(heads, "node", "left").select("scope", "node", F.coalesce("head", "first").alias("head"))
-        return rows.join(own, ["scope", "node"]).select(
-            "scope", "record", "rank", F.when(F.col("head.rank") < F.col("rank"), F.col("head.record")).alias("accepted")
+        _, nodes, ties, _ = self._tie(rows)
+        own = nodes.select("scope", "node").join(ties, "node")
+        before = ~F.col("label.new") | (F.col("label.rank") < F.col("rank"))
+        return rows.join(own, ["scope", "node"]).select("scope", "record", "rank", F.when(before, F.col("label.record")).alias("accepted"))
+
+    def _tie(self, rows: DataFrame) -> tuple[int, DataFrame, DataFrame, DataFrame | None]:
+        """The batch's number, its names, ``node, label`` of each, and the stored articles that it joins."""
+        number = self._begin()
+        nodes = rows.groupBy("scope", "node").agg(
+            F.min(F.struct("rank", "record")).alias("first"), F.first("name").alias("name"), F.first("numbers").alias("numbers"), F.min(F.struct("rank", "place"))["place"].alias("place"), F.min("words").alias("words")
         )
+        nodes = materialise(nodes, "nodes")
+        cut = nodes.select("node", "scope", "numbers", "name").mapInArrow(_flat_pieces, _PIECE)
+        # A record's id is one more thing that its names share; it has no bytes of the name.
+        nothing = [F.lit(0).alias(c) for c in ("place", "bytes", "till", "size", "mate")]
+        ids = rows.filter("record <> ''").select(F.xxhash64(F.lit("id"), "scope", "record").alias("key"), "node", *nothing, F.lit(False).alias("last"), F.array().cast("array<int>").alias("ends"))
+        self._insert("chunks", cut.unionByName(ids.distinct()), number)
+        shared = self._shared(number)
+        facts = nodes.select("node", "name", "place", "words")
+        stored = self._stored("nodes")
+        pairs = _covered(_candidates(shared, lambda some: self._facts(facts, stored, some), self.listed), shared)
+        judged = _judge(pairs, self._facts(facts, stored, pairs.select(F.explode(F.array("x", "y")).alias("node"))))
+        by_id = _same_record(shared)
+        # Stored names stand for the articles they were tied to.
+        label = F.struct(F.lit(True).alias("new"), "first.rank", "first.record", F.col("node").alias("root"))
+        own = nodes.select("node", label.alias("label"))
+        ends = by_id.select("a", "b").unionByName(judged.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        known = None
+        if stored is not None:
+            some = ends.select(F.explode(F.array("a", "b")).alias("node")).unionByName(nodes.select("node")).distinct()
+            known = materialise(self._settled(stored.join(some, "node", "left_semi").select("node", "label")), "known")
+        sure = by_id.unionByName(judged.filter("not cut").select(F.col("x").alias("a"), F.col("y").alias("b")))
+        labels = _spread(sure, own, known)
+        cuts = materialise(_cut(judged.filter("cut"), labels), "cuts")
+        ties = _spread(materialise(sure.unionByName(cuts), "edges"), own, known)
+        moves = None
+        if known is not None:
+            moved = known.select("node", F.col("label").alias("was")).join(ties, "node").filter("was.root <> label.root")
+            moved = materialise(moved.groupBy(F.col("was.root").alias("root")).agg(F.min("label").alias("label")), "moves")
+            moves = moved if moved.head(1) else None
+        return number, nodes, ties, moves
+
+    def _shared(self, number: int) -> DataFrame:
+        """The rows of the batch's chunks that more than one name holds, with how many do (``n``) and whether one is the batch's (``mine``)."""
+        held = self._stored("chunks", number)
+        own = held.filter(F.col("batch") == number)
+        # The size of a batch decides how its keys reach the history; neither way moves the history.
+        if self._stored("chunks") is not None and own.count() <= BROADCAST_ROWS:
+            keys = materialise(own.select("key").distinct(), "keys")
+            held = held.join(F.broadcast(keys), "key", "left_semi")
+        counts = held.groupBy("key").agg(F.count_distinct("node").alias("n"), F.max(F.col("batch") == number).alias("_own")).filter("n > 1 and _own")
+        rows = held.join(counts.drop("_own"), "key").withColumn("mine", F.col("batch") == number).drop("batch")
+        return materialise(rows, "shared")
 
-
-def _same_record(ids: DataFrame) -> DataFrame:
+    @staticmethod
+    def _facts(own: DataFrame, stored: DataFrame | None, some: DataFrame) -> DataFrame:
+        """``node, name, place, words`` of the names of the batch and of those of ``some`` that are stored."""
+        if stored is None:
+            return own
+        return own.unionByName(stored.select("node", "name", "place", "words").join(some.select("node").distinct(), "node", "left_semi")).dropDuplicates(["node"])
+
+    def _settled(self, known: DataFrame) -> DataFrame:
+        """``node, label`` with each article replaced by the one it has become, by as many steps as there were."""
+        moves = self._stored("moves")
+        # A name is stored once for each batch that held it, the first time under its article.
+        known = known.groupBy("node").agg(F.min("label").alias("label"))
+        label = F.struct(F.lit(False).alias("new"), "label.rank", "label.record", "label.root")
+        known = known.select("node", label.alias("label"))
+        while moves is not None:
+            to = moves.select(F.col("root").alias("_root"), F.struct(F.lit(False).alias("new"), "label.rank", "label.record", "label.root").alias("_to"))
+            known = materialise(known.join(to, F.col("label.root") == F.col("_root"), "left").select("node", F.coalesce("_to", "label").alias("label"), F.col("_to").isNotNull().alias("moved")), "settled")
+            if not known.filter("moved").head(1):
+                return known.drop("moved")
+            known = known.drop("moved")
+        return known
+
+
+def _same_record(shared: DataFrame) -> DataFrame:
     """Edges between nodes that hold the same record id."""
-    least = ids.groupBy("scope", "record").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
-    return ids.join(least, ["scope", "record"]).filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    ids = shared.filter("place = 0").select("key", "node")
+    least = ids.groupBy("key").agg(F.min("node").alias("a"))
+    return materialise(ids.join(least, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "same_record")
 
 
-def _shared(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The signatures that more than one node has, with how many have it and what each node left out.
+def _candidates(shared: DataFrame, facts: Callable[[DataFrame], DataFrame], listed: int) -> DataFrame:
+    """``x, y, cut``: pairs of names that share the chunks which one edit or a cut end leaves in common."""
+    mine = shared.filter("mine and place <> 0").select("node", F.struct("place", "n", "key", "mate", "size").alias("piece"))
+    held = mine.groupBy("node").agg(F.collect_list("piece").alias("pieces"))  # as many as a name has chunks
+    after = F.map_from_entries(F.transform(F.filter("pieces", lambda p: p["place"] < 0), lambda p: F.struct(-p["place"], p)))
 
-    All signatures are shuffled once, as three numbers; only the shared ones, a
-    small part, meet the names.
-    """
-    counted = chunks.select("node", "sig", "run").withColumn("n", F.count("*").over(Window.partitionBy("sig"))).filter("n > 1")
-    facts = nodes.select("node", "name")
-    named = materialise(counted, "shared").join(facts, "node")
-    start, end = F.shiftright("run", 16).cast("int"), F.col("run").bitwiseAND(0xFFFF).cast("int")
-    out = F.decode(F.substr(F.encode("name", "UTF-8"), start + 1, end - start), "UTF-8")
-    size = F.octet_length("name").alias("size")
-    return materialise(named.select("sig", "n", "node", size, out.alias("out")), "left_out")
-
-
-def _near(shared: DataFrame) -> DataFrame:
-    """``a, b``: pairs of nodes of which one is spelled like the other."""
-    less = F.col("x.node") < F.col("y.node")
-    few = shared.filter(f"n <= {DENSE}")
-    pairs = few.alias("x").join(few.alias("y"), (F.col("x.sig") == F.col("y.sig")) & less)
-    # In dense groups only spellings of one word meet: one edit apart they share what is left of them without one character,
-    # with characters swapped the sorted ones (behind a sign that no name holds).
-    places = F.sequence(F.lit(1), F.length("out"))
-    ordered = F.concat(F.lit("\x00"), F.array_join(F.array_sort(F.split("out", "")), ""))
-    variants = F.array_distinct(
-        F.concat(F.array("out", ordered), F.transform(places, lambda i: F.concat(F.substring("out", F.lit(1), i - 1), F.substr("out", i + 1))))
+    def rarer(front: Column) -> Column:
+        back = F.try_element_at(F.col("after"), front["mate"])
+        return F.when(front["mate"] == 0, front).when(back.isNotNull(), F.when(front["n"] <= back["n"], front).otherwise(back))
+
+    chosen = F.concat(
+        F.transform(F.filter("pieces", lambda p: p["place"] > 0), rarer), F.filter("pieces", lambda p: (p["place"] < 0) & (p["mate"] == 1))
     )
-    dense = shared.filter(f"n > {DENSE}").withColumn("variant", F.explode(variants))
-    dense = dense.withColumn("m", F.count("*").over(Window.partitionBy("sig", "variant"))).filter("m > 1")
-    many = dense.alias("x").join(dense.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.variant") == F.col("y.variant")) & less)
-    p, q = F.col("x.out"), F.col("y.out")
-    gap = F.levenshtein(p, q, 2)
-    swapped = (gap == 2) & (F.length(p) == F.length(q)) & (F.array_sort(F.split(p, "")) == F.array_sort(F.split(q, "")))
-    # Shared bytes are the rest and what the left-out runs have in common.
-    longest = F.greatest("x.size", "y.size")
-    spelled = ((gap == 1) | swapped) & (longest - gap >= COVERAGE * longest) & (F.length(p) > 2) & (F.length(q) > 2)
-    kept = lambda found_: found_.filter(spelled).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return materialise(kept(pairs).unionByName(kept(many)), "near")
-
-
-def _goes_on(nodes: DataFrame) -> DataFrame:
-    """``short, long, same_place``: names that are another name without its last words.
-
-    Each name without its last one to ``CUT_WORDS`` words meets the names by their node,
-    so neither the size of a group nor of what was cut off counts.
+    probes = held.withColumn("after", after).select(F.col("node").alias("x"), F.explode(F.array_distinct(F.filter(chosen, lambda p: p.isNotNull()))).alias("p"))
+    probes = materialise(probes.select("x", "p.key", "p.n", F.col("p.size").alias("x_size")), "probes")
+    few = shared.filter((F.col("place") != 0) & (F.col("n") <= listed)).select("key", F.col("node").alias("y"), F.col("size").alias("y_size"))
+    # One edit changes four bytes at most.
+    near = probes.filter(F.col("n") <= listed).join(few, "key").filter((F.col("x") != F.col("y")) & (F.abs(F.col("x_size") - F.col("y_size")) <= 4)).select("x", "y")
+    pairs = near.unionByName(_of_common(probes.filter(F.col("n") > listed), shared, facts))
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.lit(False).alias("cut"))
+    # A cut name's last chunk and size are those of the longer name without its last words.
+    short = shared.filter("last").select("key", "size", F.col("node").alias("x"), F.col("mine").alias("x_mine"))
+    long = shared.filter(F.size("ends") > 0).select("key", F.explode("ends").alias("size"), F.col("node").alias("y"), F.col("mine").alias("y_mine"))
+    cut = short.join(long, ["key", "size"])
+    open_ = cut.filter("x_mine or y_mine").select("x").distinct()
+    cut = cut.join(open_, "x", "left_semi").select("x", "y", F.lit(True).alias("cut"))
+    return materialise(pairs.unionByName(cut).distinct(), "candidates")
+
+
+def _of_common(probes: DataFrame, shared: DataFrame, facts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``x, y`` of the names that share a common chunk and have rests one edit apart.
+
+    Rests one edit apart are equal without one character each, or have the same
+    characters; no pair of a common chunk's names is listed for any other reason.
     """
-    facts = F.hash("place").alias("place"), "words", F.octet_length("name").alias("size")
-    parts = F.split("name", "-")
-    ends = F.filter(F.transform(F.sequence(F.lit(1), F.lit(CUT_WORDS)), lambda k: F.size(parts) - k), lambda k: k > 0)
-    cut = nodes.select("scope", "numbers", "name", F.col("node").alias("long"), *facts).withColumn("left", F.explode(ends))
-    cut = cut.withColumn("name", F.array_join(F.slice(F.split("name", "-"), F.lit(1), F.col("left")), "-")).filter(F.octet_length("name") >= COVERAGE * F.col("size"))
-    cut = cut.select(F.xxhash64("scope", "numbers", "name").alias("node"), "long", F.col("place").alias("long_place"), F.col("words").alias("long_words"))
-    # The words without meaning count here: "and in another place" adds more of them than a cut takes.
-    met = cut.join(nodes.select("node", *facts), "node").filter(F.col("long_words") - F.col("words") <= CUT_WORDS)
-    return met.select(F.col("node").alias("short"), "long", (F.col("place") == F.col("long_place")).alias("same_place"))
-
-
-def _cut(cut: DataFrame, heads: DataFrame) -> DataFrame:
+    keys = probes.select("key").distinct()
+    members = materialise(shared.join(keys, "key", "left_semi").select("key", "node", "place", "till", "size", "mine"), "members")
+    named = members.join(facts(members).select("node", "name"), "node")
+    raw = F.encode("name", "UTF-8")
+    rest = F.decode(F.when(F.col("place") > 0, F.substr(raw, F.col("till") + 1)).otherwise(F.substr(raw, F.lit(1), F.col("size") - F.col("till"))), "UTF-8")
+    named = named.select("key", "node", "mine", rest.alias("rest"))
+    ordered = F.concat(F.lit("\x00"), F.array_join(F.array_sort(F.split("rest", "")), ""))
+    less = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("rest"))), lambda i: F.concat(F.substring("rest", F.lit(1), i - 1), F.substr("rest", i + 1)))
+    left = named.select("key", "node", "mine", F.explode(F.array_distinct(F.concat(F.array("rest", ordered), less))).alias("left"))
+    left = materialise(left.select(F.xxhash64("key", "left").alias("left"), "node", "mine"), "rests")
+    met = left.groupBy("left").agg(F.count("*").alias("n"), F.max("mine").alias("mine")).filter("n > 1 and mine")
+    kept = left.join(met.select("left"), "left", "left_semi")
+    x, y = kept.alias("x"), kept.alias("y")
+    both = x.join(y, (F.col("x.left") == F.col("y.left")) & F.col("x.mine") & (F.col("x.node") != F.col("y.node")))
+    return both.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
+
+
+def _covered(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pairs of which shared chunks cover ``COVERAGE`` of the shorter record, with the shared bytes."""
+    held = shared.filter("place <> 0").select("node", "key", "bytes", "size")
+    left = held.select(F.col("node").alias("x"), "key", "bytes", F.col("size").alias("x_size"))
+    right = held.select(F.col("node").alias("y"), "key", F.col("size").alias("y_size"))
+    total = pairs.join(left, "x").join(right, ["y", "key"]).groupBy("x", "y", "cut").agg(F.sum("bytes").alias("bytes"), F.min(F.least("x_size", "y_size")).alias("size"))
+    return materialise(total.filter(F.col("bytes") >= COVERAGE * F.col("size")), "covered")
+
+
+def _judge(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """``x, y, cut, same_place`` of the pairs whose difference is one edit within a word, or a cut end."""
+    facts = facts.select("node", "name", F.hash("place").alias("place"), "words")
+    sides = [facts.select(*[F.col(c).alias(f"{side}_{c}" if c != "node" else side) for c in facts.columns]) for side in "xy"]
+    both = pairs.join(sides[0], "x").join(sides[1], "y")
+    a, b = F.col("x_name"), F.col("y_name")
+    gap = F.levenshtein(a, b, 2)
+    # Two characters of one word may have changed places.
+    differ = F.filter(F.zip_with(F.split(a, "-"), F.split(b, "-"), lambda p, q: ~p.eqNullSafe(q)), lambda d: d)
+    swapped = (gap == 2) & (F.length(a) == F.length(b)) & (F.size(differ) == 1) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    # The words without meaning count: "and in another place" adds more of them than a cut takes.
+    more = F.size(F.split(b, "-")) - F.size(F.split(a, "-"))
+    ends = b.startswith(F.concat(a, F.lit("-"))) & more.between(1, CUT_WORDS) & (F.col("y_words") - F.col("x_words") <= CUT_WORDS)
+    right = F.when(F.col("cut"), ends & (F.octet_length(a) >= CUT_SHARE * F.octet_length(b))).otherwise((gap == 1) | swapped)
+    return materialise(both.filter(right).select("x", "y", "cut", (F.col("x_place") == F.col("y_place")).alias("same_place")), "judged")
+
+
+def _cut(cut: DataFrame, labels: DataFrame) -> DataFrame:
     """Edges from a name whose end was cut off to the one article that goes on from it.
 
-    ``cut`` is as ``_goes_on`` gives it; ``heads`` joins the spellings of one article, which count once.
+    ``cut`` is as ``_judge`` gives it; ``labels`` joins the spellings of one article, which count once.
     """
     # A cut address that several articles go on from names none of them, unless only one is filed in its place.
-    article = F.coalesce(F.hash("head"), F.hash("long"))
+    named = labels.select(F.col("node").alias("y"), F.col("label.root").alias("root"))
+    article = F.coalesce("root", "y")
     votes = (
-        cut.join(heads.select(F.col("node").alias("long"), "head"), "long", "left")
-        .groupBy("short")
+        cut.join(named, "y", "left")
+        .groupBy("x")
         .agg(
             F.count_distinct(article).alias("any"),
             F.count_distinct(F.when(F.col("same_place"), article)).alias("near"),
-            F.min("long").alias("only"),
-            F.min(F.when(F.col("same_place"), F.col("long"))).alias("here"),
+            F.min("y").alias("only"),
+            F.min(F.when(F.col("same_place"), F.col("y"))).alias("here"),
         )
     )
     chosen = F.when(F.col("near") == 1, F.col("here")).otherwise(F.col("only"))
-    return votes.filter("near = 1 OR any = 1").select(F.col("short").alias("a"), chosen.alias("b"))
+    return votes.filter("near = 1 OR any = 1").select(F.col("x").alias("a"), chosen.alias("b"))
 
 
-def _heads(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, head``: for each linked node the least first record of its component.
+def _spread(edges: DataFrame, own: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``node, label`` of the batch's names and of the stored ones in ``known``: the least label of each component.
 
     Labels spread along the edges until none changes; components are the spellings
-    of one article, so this takes a few rounds over the (few) linked nodes.
+    of one article, so this takes a few rounds over the (few) linked nodes.  A stored
+    name stands for its article, whose other names need not be read.
     """
-    back = edges.select(F.col("b").alias("node"), F.col("a").alias("to"))
-    arcs = materialise(edges.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(back).distinct(), "arcs")
-    linked = arcs.select("node").distinct()
-    heads = materialise(nodes.join(linked, "node", "left_semi").select("node", F.col("first").alias("head")), "heads")
-    while True:
-        around = arcs.join(heads.select(F.col("node").alias("to"), F.col("head").alias("other")), "to").groupBy("node").agg(F.min("other").alias("other"))
-        moved = heads.join(around, "node", "left").select(
-            "node", F.least("head", F.coalesce("other", "head")).alias("head"), F.coalesce(F.col("other") < F.col("head"), F.lit(False)).alias("changed")
-        )
-        moved = materialise(moved, "heads")
-        heads = moved.drop("changed")
+    stands = own.select("node", F.col("node").alias("at"), "label")
+    if known is not None:
+        old = known.select("node", F.col("label.root").alias("at"), "label")
+        stands = own.join(known, "node", "left_anti").select("node", F.col("node").alias("at"), "label").unionByName(old)
+    stands = materialise(stands, "stands")
+    at = stands.select("node", "at")
+    arcs = edges.join(at.withColumnsRenamed({"node": "a", "at": "p"}), "a").join(at.withColumnsRenamed({"node": "b", "at": "q"}), "b").filter("p <> q")
+    arcs = materialise(arcs.select(F.explode(F.array(F.struct("p", "q"), F.struct(F.col("q").alias("p"), F.col("p").alias("q")))).alias("e")).select("e.*").distinct(), "arcs")
+    linked = arcs.select(F.col("p").alias("at")).distinct()
+    labels = materialise(stands.join(linked, "at", "left_semi").groupBy("at").agg(F.min("label").alias("label")), "labels")
+    while labels.head(1):
+        around = arcs.join(labels.select(F.col("at").alias("q"), F.col("label").alias("other")), "q").groupBy("p").agg(F.min("other").alias("other"))
+        moved = labels.join(around, F.col("at") == F.col("p")).select("at", F.least("label", "other").alias("label"), (F.col("other") < F.col("label")).alias("changed"))
+        moved = materialise(moved, "labels")
+        labels = moved.drop("changed")
         if not moved.filter("changed").head(1):
-            return heads
+            break
+    spread = labels.withColumnRenamed("label", "_label")
+    return materialise(stands.join(spread, "at", "left").select("node", F.coalesce("_label", "label").alias("label")), "ties")
 
 
 def found(items: DataFrame, seen: DataFrame) -> DataFrame:
