@@ -96,6 +96,8 @@ def address(url: str | None) -> tuple[str, str, str, int]:
     return "-".join(named), " ".join(numbers), "/".join(segments), count
 
 
+#: Rows of a chunk behind which no chunk survives an edit.
+_AT_END = "place > 0 and mate = 0"
 _PIECE = "key long, node long, place int, bytes int, till int, size int, mate int, last boolean, ends array<int>"
 
 
@@ -269,14 +271,18 @@ class ChunkIndex:
             F.min(F.struct("rank", "record")).alias("first"), F.first("name").alias("name"), F.first("numbers").alias("numbers"), F.min(F.struct("rank", "place"))["place"].alias("place"), F.min("words").alias("words")
         )
         nodes = materialise(nodes, "nodes")
-        cut = nodes.select("node", "scope", "numbers", "name").mapInArrow(_flat_pieces, _PIECE)
+        stored = self._stored("nodes")
+        # A name that is stored has its answer by itself; only new ones are cut into chunks.
+        fresh = nodes.select("node", "scope", "numbers", "name")
+        if stored is not None:
+            fresh = fresh.join(stored.select("node"), "node", "left_anti")
+        cut = fresh.mapInArrow(_flat_pieces, _PIECE)
         # A record's id is one more thing that its names share; it has no bytes of the name.
         nothing = [F.lit(0).alias(c) for c in ("place", "bytes", "till", "size", "mate")]
         ids = rows.filter("record <> ''").select(F.xxhash64(F.lit("id"), "scope", "record").alias("key"), "node", *nothing, F.lit(False).alias("last"), F.array().cast("array<int>").alias("ends"))
         self._insert("chunks", cut.unionByName(ids.distinct()), number)
         shared = self._shared(number)
         facts = nodes.select("node", "name", "place", "words")
-        stored = self._stored("nodes")
         pairs = _covered(_candidates(shared, lambda some: self._facts(facts, stored, some), self.listed), shared)
         judged = _judge(pairs, self._facts(facts, stored, pairs.select(F.explode(F.array("x", "y")).alias("node"))))
         by_id = _same_record(shared)
@@ -300,15 +306,19 @@ class ChunkIndex:
         return number, nodes, ties, moves
 
     def _shared(self, number: int) -> DataFrame:
-        """The rows of the batch's chunks that more than one name holds, with how many do (``n``) and whether one is the batch's (``mine``)."""
+        """The rows of the batch's chunks that more than one name holds, and whether a row is the batch's own (``mine``).
+
+        ``n`` is how many hold the chunk; for a chunk with nothing behind an edit, how many hold it so.
+        """
         held = self._stored("chunks", number)
         own = held.filter(F.col("batch") == number)
         # The size of a batch decides how its keys reach the history; neither way moves the history.
         if self._stored("chunks") is not None and own.count() <= BROADCAST_ROWS:
             keys = materialise(own.select("key").distinct(), "keys")
             held = held.join(F.broadcast(keys), "key", "left_semi")
-        counts = held.groupBy("key").agg(F.count_distinct("node").alias("n"), F.max(F.col("batch") == number).alias("_own")).filter("n > 1 and _own")
-        rows = held.join(counts.drop("_own"), "key").withColumn("mine", F.col("batch") == number).drop("batch")
+        counts = held.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.expr(_AT_END)).alias("at_end"), F.max(F.col("batch") == number).alias("_own")).filter("n > 1 and _own")
+        n = F.when(F.expr(_AT_END), F.col("at_end")).otherwise(F.col("n"))
+        rows = held.join(counts.drop("_own"), "key").withColumns({"mine": F.col("batch") == number, "n": n}).drop("batch", "at_end")
         return materialise(rows, "shared")
 
     @staticmethod
@@ -355,10 +365,11 @@ def _candidates(shared: DataFrame, facts: Callable[[DataFrame], DataFrame], list
         F.transform(F.filter("pieces", lambda p: p["place"] > 0), rarer), F.filter("pieces", lambda p: (p["place"] < 0) & (p["mate"] == 1))
     )
     probes = held.withColumn("after", after).select(F.col("node").alias("x"), F.explode(F.array_distinct(F.filter(chosen, lambda p: p.isNotNull()))).alias("p"))
-    probes = materialise(probes.select("x", "p.key", "p.n", F.col("p.size").alias("x_size")), "probes")
-    few = shared.filter((F.col("place") != 0) & (F.col("n") <= listed)).select("key", F.col("node").alias("y"), F.col("size").alias("y_size"))
+    # Where an edit may reach the end of one spelling it may in the other.
+    probes = materialise(probes.select("x", "p.key", "p.n", ((F.col("p.place") > 0) & (F.col("p.mate") == 0)).alias("at_end"), F.col("p.size").alias("x_size")), "probes").filter("n > 1")
+    few = shared.filter((F.col("place") != 0) & (F.col("n") <= listed)).select("key", F.expr(_AT_END).alias("y_end"), F.col("node").alias("y"), F.col("size").alias("y_size"))
     # One edit changes four bytes at most.
-    near = probes.filter(F.col("n") <= listed).join(few, "key").filter((F.col("x") != F.col("y")) & (F.abs(F.col("x_size") - F.col("y_size")) <= 4)).select("x", "y")
+    near = probes.filter(F.col("n") <= listed).join(few, "key").filter((F.col("x") != F.col("y")) & (F.abs(F.col("x_size") - F.col("y_size")) <= 4) & (~F.col("at_end") | F.col("y_end"))).select("x", "y")
     pairs = near.unionByName(_of_common(probes.filter(F.col("n") > listed), shared, facts))
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.lit(False).alias("cut"))
     # A cut name's last chunk and size are those of the longer name without its last words.
@@ -376,8 +387,9 @@ def _of_common(probes: DataFrame, shared: DataFrame, facts: Callable[[DataFrame]
     Rests one edit apart are equal without one character each, or have the same
     characters; no pair of a common chunk's names is listed for any other reason.
     """
-    keys = probes.select("key").distinct()
-    members = materialise(shared.join(keys, "key", "left_semi").select("key", "node", "place", "till", "size", "mine"), "members")
+    keys = probes.groupBy("key").agg(F.min("at_end").alias("at_end"))
+    members = shared.filter("place <> 0").join(keys, "key").filter(~F.col("at_end") | F.expr(_AT_END))
+    members = materialise(members.select("key", "node", "place", "till", "size", "mine"), "members")
     named = members.join(facts(members).select("node", "name"), "node")
     raw = F.encode("name", "UTF-8")
     rest = F.decode(F.when(F.col("place") > 0, F.substr(raw, F.col("till") + 1)).otherwise(F.substr(raw, F.lit(1), F.col("size") - F.col("till"))), "UTF-8")
