@@ -79,4 +79,16 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._claimlake_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes tables that ``materialise`` gave and nothing reads any more; others stay."""
+    for table in tables:
+        path = getattr(table, "_claimlake_path", None)
+        if path:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
