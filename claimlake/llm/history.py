@@ -14,8 +14,8 @@ never cut, compared or tied again.
 A chunk at the beginning of many names isn't listed for all of them.  One edit leaves
 a chunk before it and one after it in common, so for every place it may have only the
 rarer of both is looked up.  Where even that one has more than ``LISTED`` records, the
-rests of these records meet by what one edit leaves of them; both ways find the same
-pairs.  The tables are bucketed by their keys: a check moves the batch, not the history.
+rests of these records meet by what one edit leaves of them (some fifty rows a record,
+so listing is cheaper below); both ways find the same pairs.  The tables are bucketed by their keys: a check moves the batch, not the history.
 """
 
 from __future__ import annotations
@@ -32,11 +32,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.session import materialise, shared_dir
+from claimlake.session import discard, materialise, shared_dir
 
 #: Least share of the shorter record's bytes that two records of one article have in common; records of a chunk up to
 #: which they are listed one by one; words that may be cut off an end; rows of a batch up to which its keys are broadcast.
-COVERAGE, LISTED, CUT_WORDS, BROADCAST_ROWS = 0.2, 64, 2, 200_000
+COVERAGE, LISTED, CUT_WORDS, BROADCAST_ROWS = 0.2, 512, 2, 200_000
 
 #: Least share of a name that is left where its end was cut off.
 CUT_SHARE = 0.6
@@ -96,67 +96,89 @@ def address(url: str | None) -> tuple[str, str, str, int]:
     return "-".join(named), " ".join(numbers), "/".join(segments), count
 
 
-#: Rows of a chunk behind which no chunk survives an edit.
-_AT_END = "place > 0 and mate = 0"
-_PIECE = "key long, node long, place int, bytes int, till int, size int, mate int, last boolean, ends array<int>"
+#: Rows of a chunk behind which no chunk survives an edit; rows of a whole name, and of one without its last words.
+_AT_END, _WHOLE, _LONGER = "place > 0 and mate = 0", "place = 0 and mate = 1", "place = 0 and mate = 2"
+_PIECE = "key long, node long, place int, bytes int, size int, mate int"
 
 
-def pieces(name: str, seed: int) -> list[tuple[int, int, int, int, int, bool, list[int]]]:
-    """``(key, place, bytes, till, mate, last, ends)`` of each chained chunk of a name.
+def pieces(name: str, seed: int) -> list[tuple[int, int, int, int]]:
+    """``(key, place, bytes, mate)`` of each chained chunk of a name.
 
     ``place`` is the number of chunks up to the end of one that is chained to the
     beginning, and minus that number for the one that begins there and is chained to
-    the end; ``till`` counts the bytes of the chain.  ``mate`` of the former is the
-    place where the chain from the end goes on behind one edit of the next chunk (0 if
-    the edit may reach the end), of the latter 1 if an edit of the first chunk leaves it.
-    ``last`` marks the last chunk that a longer name shares, ``ends`` the sizes of the
-    names without the last words whose ``last`` chunk this is.
+    the end.  ``mate`` of the former is the place where the chain from the end goes on
+    behind one edit of the next chunk (0 if the edit may reach the end), of the latter
+    1 if an edit of the first chunk leaves it.  Place 0 is the chain before the last
+    chunk together with the size of the name (``mate`` 1), or with that of the name
+    without its last words (``mate`` 2), as a name that ends there would have it.
     """
     data = name.encode()
     size, bounds = len(data), [0, *chunk_ends(data)]
     count = len(bounds) - 1
     # A swap covers two characters, and an end depends on the last five bytes.
     reach = 4 + 2 * (1 if name.isascii() else 4)
-    cut, cuts = size, []
-    for _ in range(CUT_WORDS):
-        cut = data.rfind(b"-", 0, cut)
-        if cut <= 0:
-            break
-        cuts.append(cut)
 
     def behind(i: int) -> int:
         """The place behind an edit of the chunk that begins at place ``i``."""
         j = bisect.bisect_left(bounds, bounds[i + 1] + reach)
         return j if j < count else 0
 
-    out, chain = [], seed
+    out, chain, chains = [], seed, [seed]
     for i in range(1, count):
-        chain = xxhash.xxh64_intdigest(data[bounds[i - 1] : bounds[i]], seed=chain)
-        ends = [c for c in cuts if bounds[i] < c <= bounds[i + 1]]
-        out.append((chain - 2**63, i, bounds[i] - bounds[i - 1], bounds[i], behind(i), i == count - 1, ends))
+        own = data[bounds[i - 1] : bounds[i]]
+        chain = xxhash.xxh64_intdigest(own, seed=chain)
+        chains.append(chain)
+        out.append((chain - 2**63, i, len(own), behind(i)))
+    end = size
+    for words in range(CUT_WORDS + 1):
+        if words:
+            end = data.rfind(b"-", 0, end)
+        last = bisect.bisect_left(bounds, end) - 1
+        if last < 1:
+            break
+        out.append((xxhash.xxh64_intdigest(end.to_bytes(8), seed=chains[last]) - 2**63, 0, 0, 2 if words else 1))
     chain, first = seed ^ 0xFFFFFFFF, behind(0)
     for i in range(count - 1, 0, -1):
-        chain = xxhash.xxh64_intdigest(data[bounds[i] : bounds[i + 1]], seed=chain)
-        out.append((chain - 2**63, -i, bounds[i + 1] - bounds[i], size - bounds[i], int(i == first), False, []))
+        own = data[bounds[i] : bounds[i + 1]]
+        chain = xxhash.xxh64_intdigest(own, seed=chain)
+        out.append((chain - 2**63, -i, len(own), int(i == first)))
     return out
 
 
+def rests(name: str, place: int) -> list[str]:
+    """What an edit leaves of the part of a name that a common chunk doesn't cover: the part, its characters in order, and it without one of them.
+
+    An edit behind a chunk from the beginning lies in the next chunk.
+    """
+    data = name.encode()
+    bounds = [0, *chunk_ends(data)]
+    at = bounds[abs(place)]
+    rest = (data[at:] if place > 0 else data[:at]).decode(errors="surrogateescape")
+    region = len(data[at : bounds[place + 1]].decode(errors="surrogateescape")) if place > 0 else len(rest)
+    return [rest, "\x00" + "".join(sorted(rest)), *{rest[:k] + rest[k + 1 :] for k in range(region)}]
+
+
 def _flat_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, scope, numbers, name`` to one row of ``_PIECE`` per chained chunk."""
-    schema = pa.schema([
-        ("key", pa.int64()), ("node", pa.int64()), ("place", pa.int32()), ("bytes", pa.int32()), ("till", pa.int32()),
-        ("size", pa.int32()), ("mate", pa.int32()), ("last", pa.bool_()), ("ends", pa.list_(pa.int32())),
-    ])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), *((c, pa.int32()) for c in ("place", "bytes", "size", "mate"))])
     for batch in batches:
         columns: list[list] = [[] for _ in schema]
         for node, scope, numbers, name in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             size = len(name.encode())
-            for key, place, own, till, mate, last, ends in pieces(name, xxhash.xxh64_intdigest(f"{scope}\x00{numbers}")):
-                for column, value in zip(columns, (key, node, place, own, till, size, mate, last, ends), strict=True):
+            for key, place, own, mate in pieces(name, xxhash.xxh64_intdigest(f"{scope}\x00{numbers}")):
+                for column, value in zip(columns, (key, node, place, own, size, mate), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _rests_udf(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for keys, names, places in batches:
+        yield pd.Series([
+            [xxhash.xxh64_intdigest(r.encode(errors="surrogateescape"), seed=k + 2**63) - 2**63 for r in rests(n, p)] for k, n, p in zip(keys, names, places, strict=True)
+        ])
+
+
 _ADDRESS = T.StructType().add("name", "string").add("numbers", "string").add("place", "string").add("words", "integer")
 
 
@@ -248,10 +270,12 @@ class ChunkIndex:
     def append(self, rows: DataFrame) -> None:
         """Adds records (as ``records`` gives them), each tied to the accepted record of its article."""
         number, nodes, ties, moves = self._tie(rows)
-        self._insert("nodes", nodes.join(ties, "node").select("node", "name", "place", "words", F.col("label.root").alias("root"), F.col("label").alias("label")), number)
+        tied = nodes.join(ties, "node", "left").select("node", "name", "place", "words", F.coalesce("label", _own_label()).alias("label"))
+        self._insert("nodes", tied, number)
         if moves is not None:
             self._insert("moves", moves, number)
         self._mark("done", number)
+        discard(nodes, ties, moves)
 
     def check(self, rows: DataFrame) -> DataFrame:
         """``scope, record, rank, accepted``: for each record of a batch the accepted record of its article, null for a first one.
@@ -260,12 +284,12 @@ class ChunkIndex:
         link them, else the least by ``rank`` of the batch's own.  Nothing is added.
         """
         _, nodes, ties, _ = self._tie(rows)
-        own = nodes.select("scope", "node").join(ties, "node")
+        own = nodes.join(ties, "node", "left").select("scope", "node", F.coalesce("label", _own_label()).alias("label"))
         before = ~F.col("label.new") | (F.col("label.rank") < F.col("rank"))
         return rows.join(own, ["scope", "node"]).select("scope", "record", "rank", F.when(before, F.col("label.record")).alias("accepted"))
 
     def _tie(self, rows: DataFrame) -> tuple[int, DataFrame, DataFrame, DataFrame | None]:
-        """The batch's number, its names, ``node, label`` of each, and the stored articles that it joins."""
+        """The batch's number, its names, ``node, label`` of those that are linked or stored, and the stored articles that it joins."""
         number = self._begin()
         nodes = rows.groupBy("scope", "node").agg(
             F.min(F.struct("rank", "record")).alias("first"), F.first("name").alias("name"), F.first("numbers").alias("numbers"), F.min(F.struct("rank", "place"))["place"].alias("place"), F.min("words").alias("words")
@@ -276,33 +300,32 @@ class ChunkIndex:
         fresh = nodes.select("node", "scope", "numbers", "name")
         if stored is not None:
             fresh = fresh.join(stored.select("node"), "node", "left_anti")
-        cut = fresh.mapInArrow(_flat_pieces, _PIECE)
         # A record's id is one more thing that its names share; it has no bytes of the name.
-        nothing = [F.lit(0).alias(c) for c in ("place", "bytes", "till", "size", "mate")]
-        ids = rows.filter("record <> ''").select(F.xxhash64(F.lit("id"), "scope", "record").alias("key"), "node", *nothing, F.lit(False).alias("last"), F.array().cast("array<int>").alias("ends"))
-        self._insert("chunks", cut.unionByName(ids.distinct()), number)
+        nothing = [F.lit(0).alias(c) for c in ("place", "bytes", "size", "mate")]
+        ids = rows.filter("record <> ''").select(F.xxhash64(F.lit("id"), "scope", "record").alias("key"), "node", *nothing)
+        self._insert("chunks", fresh.mapInArrow(_flat_pieces, _PIECE).unionByName(ids.distinct()), number)
         shared = self._shared(number)
         facts = nodes.select("node", "name", "place", "words")
-        pairs = _covered(_candidates(shared, lambda some: self._facts(facts, stored, some), self.listed), shared)
-        judged = _judge(pairs, self._facts(facts, stored, pairs.select(F.explode(F.array("x", "y")).alias("node"))))
+        pairs = _candidates(shared, lambda some: self._facts(facts, stored, some), self.listed)
+        near = _judge(pairs, self._facts(facts, stored, pairs.select(F.explode(F.array("x", "y")).alias("node"))))
+        judged = _covered(near, shared)
         by_id = _same_record(shared)
+        discard(shared, pairs, near)
         # Stored names stand for the articles they were tied to.
-        label = F.struct(F.lit(True).alias("new"), "first.rank", "first.record", F.col("node").alias("root"))
-        own = nodes.select("node", label.alias("label"))
-        ends = by_id.select("a", "b").unionByName(judged.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        own = nodes.select("node", _own_label().alias("label"))
         known = None
         if stored is not None:
-            some = ends.select(F.explode(F.array("a", "b")).alias("node")).unionByName(nodes.select("node")).distinct()
-            known = materialise(self._settled(stored.join(some, "node", "left_semi").select("node", "label")), "known")
+            some = by_id.select(F.explode(F.array("a", "b")).alias("node")).unionByName(judged.select(F.explode(F.array("x", "y")).alias("node"))).unionByName(nodes.select("node"))
+            known = materialise(self._settled(stored.join(some.distinct(), "node", "left_semi").select("node", "label")), "known")
         sure = by_id.unionByName(judged.filter("not cut").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        labels = _spread(sure, own, known)
-        cuts = materialise(_cut(judged.filter("cut"), labels), "cuts")
-        ties = _spread(materialise(sure.unionByName(cuts), "edges"), own, known)
+        cuts = materialise(_cut(judged.filter("cut"), _spread(sure, own, known)), "cuts")
+        ties = _spread(sure.unionByName(cuts), own, known)
         moves = None
         if known is not None:
             moved = known.select("node", F.col("label").alias("was")).join(ties, "node").filter("was.root <> label.root")
             moved = materialise(moved.groupBy(F.col("was.root").alias("root")).agg(F.min("label").alias("label")), "moves")
             moves = moved if moved.head(1) else None
+        discard(by_id, judged, known, cuts)
         return number, nodes, ties, moves
 
     def _shared(self, number: int) -> DataFrame:
@@ -344,9 +367,14 @@ class ChunkIndex:
         return known
 
 
+def _own_label() -> Column:
+    """The label of a name that no other is tied to yet: its first record, and itself as the article."""
+    return F.struct(F.lit(True).alias("new"), "first.rank", "first.record", F.col("node").alias("root"))
+
+
 def _same_record(shared: DataFrame) -> DataFrame:
     """Edges between nodes that hold the same record id."""
-    ids = shared.filter("place = 0").select("key", "node")
+    ids = shared.filter("place = 0 and mate = 0").select("key", "node")
     least = ids.groupBy("key").agg(F.min("node").alias("a"))
     return materialise(ids.join(least, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "same_record")
 
@@ -364,21 +392,23 @@ def _candidates(shared: DataFrame, facts: Callable[[DataFrame], DataFrame], list
     chosen = F.concat(
         F.transform(F.filter("pieces", lambda p: p["place"] > 0), rarer), F.filter("pieces", lambda p: (p["place"] < 0) & (p["mate"] == 1))
     )
-    probes = held.withColumn("after", after).select(F.col("node").alias("x"), F.explode(F.array_distinct(F.filter(chosen, lambda p: p.isNotNull()))).alias("p"))
+    probes = held.withColumn("after", after).select(F.col("node").alias("x"), F.explode(F.array_distinct(F.filter(chosen, lambda p: p["n"] > 1))).alias("p"))
     # Where an edit may reach the end of one spelling it may in the other.
-    probes = materialise(probes.select("x", "p.key", "p.n", ((F.col("p.place") > 0) & (F.col("p.mate") == 0)).alias("at_end"), F.col("p.size").alias("x_size")), "probes").filter("n > 1")
+    probes = materialise(probes.select("x", "p.key", "p.n", ((F.col("p.place") > 0) & (F.col("p.mate") == 0)).alias("at_end"), F.col("p.size").alias("x_size")), "probes")
     few = shared.filter((F.col("place") != 0) & (F.col("n") <= listed)).select("key", F.expr(_AT_END).alias("y_end"), F.col("node").alias("y"), F.col("size").alias("y_size"))
     # One edit changes four bytes at most.
     near = probes.filter(F.col("n") <= listed).join(few, "key").filter((F.col("x") != F.col("y")) & (F.abs(F.col("x_size") - F.col("y_size")) <= 4) & (~F.col("at_end") | F.col("y_end"))).select("x", "y")
     pairs = near.unionByName(_of_common(probes.filter(F.col("n") > listed), shared, facts))
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.lit(False).alias("cut"))
     # A cut name's last chunk and size are those of the longer name without its last words.
-    short = shared.filter("last").select("key", "size", F.col("node").alias("x"), F.col("mine").alias("x_mine"))
-    long = shared.filter(F.size("ends") > 0).select("key", F.explode("ends").alias("size"), F.col("node").alias("y"), F.col("mine").alias("y_mine"))
-    cut = short.join(long, ["key", "size"])
+    short = shared.filter(_WHOLE).select("key", F.col("node").alias("x"), F.col("mine").alias("x_mine"))
+    long = shared.filter(_LONGER).select("key", F.col("node").alias("y"), F.col("mine").alias("y_mine"))
+    cut = short.join(long, "key")
     open_ = cut.filter("x_mine or y_mine").select("x").distinct()
     cut = cut.join(open_, "x", "left_semi").select("x", "y", F.lit(True).alias("cut"))
-    return materialise(pairs.unionByName(cut).distinct(), "candidates")
+    found_ = materialise(pairs.unionByName(cut).distinct(), "candidates")
+    discard(probes)
+    return found_
 
 
 def _of_common(probes: DataFrame, shared: DataFrame, facts: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -389,29 +419,26 @@ def _of_common(probes: DataFrame, shared: DataFrame, facts: Callable[[DataFrame]
     """
     keys = probes.groupBy("key").agg(F.min("at_end").alias("at_end"))
     members = shared.filter("place <> 0").join(keys, "key").filter(~F.col("at_end") | F.expr(_AT_END))
-    members = materialise(members.select("key", "node", "place", "till", "size", "mine"), "members")
-    named = members.join(facts(members).select("node", "name"), "node")
-    raw = F.encode("name", "UTF-8")
-    rest = F.decode(F.when(F.col("place") > 0, F.substr(raw, F.col("till") + 1)).otherwise(F.substr(raw, F.lit(1), F.col("size") - F.col("till"))), "UTF-8")
-    named = named.select("key", "node", "mine", rest.alias("rest"))
-    ordered = F.concat(F.lit("\x00"), F.array_join(F.array_sort(F.split("rest", "")), ""))
-    less = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("rest"))), lambda i: F.concat(F.substring("rest", F.lit(1), i - 1), F.substr("rest", i + 1)))
-    left = named.select("key", "node", "mine", F.explode(F.array_distinct(F.concat(F.array("rest", ordered), less))).alias("left"))
-    left = materialise(left.select(F.xxhash64("key", "left").alias("left"), "node", "mine"), "rests")
+    members = members.select("key", "node", "place", "mine").join(facts(members).select("node", "name"), "node")
+    left = members.select("node", "mine", F.explode(F.array_distinct(_rests_udf("key", "name", "place"))).alias("left"))
+    left = materialise(left, "rests")
     met = left.groupBy("left").agg(F.count("*").alias("n"), F.max("mine").alias("mine")).filter("n > 1 and mine")
-    kept = left.join(met.select("left"), "left", "left_semi")
+    kept = materialise(left.join(met.select("left"), "left", "left_semi"), "met")
     x, y = kept.alias("x"), kept.alias("y")
     both = x.join(y, (F.col("x.left") == F.col("y.left")) & F.col("x.mine") & (F.col("x.node") != F.col("y.node")))
-    return both.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
+    pairs = both.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
+    discard(left)
+    return pairs
 
 
 def _covered(pairs: DataFrame, shared: DataFrame) -> DataFrame:
-    """The pairs of which shared chunks cover ``COVERAGE`` of the shorter record, with the shared bytes."""
+    """The pairs of which shared chunks cover ``COVERAGE`` of the shorter record."""
     held = shared.filter("place <> 0").select("node", "key", "bytes", "size")
     left = held.select(F.col("node").alias("x"), "key", "bytes", F.col("size").alias("x_size"))
     right = held.select(F.col("node").alias("y"), "key", F.col("size").alias("y_size"))
-    total = pairs.join(left, "x").join(right, ["y", "key"]).groupBy("x", "y", "cut").agg(F.sum("bytes").alias("bytes"), F.min(F.least("x_size", "y_size")).alias("size"))
-    return materialise(total.filter(F.col("bytes") >= COVERAGE * F.col("size")), "covered")
+    by = ("x", "y", "cut", "same_place")
+    total = pairs.join(left, "x").join(right, ["y", "key"]).groupBy(*by).agg(F.sum("bytes").alias("bytes"), F.min(F.least("x_size", "y_size")).alias("size"))
+    return materialise(total.filter(F.col("bytes") >= COVERAGE * F.col("size")).select(*by), "covered")
 
 
 def _judge(pairs: DataFrame, facts: DataFrame) -> DataFrame:
@@ -454,31 +481,37 @@ def _cut(cut: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _spread(edges: DataFrame, own: DataFrame, known: DataFrame | None) -> DataFrame:
-    """``node, label`` of the batch's names and of the stored ones in ``known``: the least label of each component.
+    """``node, label`` of the linked names of the batch and of the stored ones in ``known``: the least label of each component.
 
     Labels spread along the edges until none changes; components are the spellings
     of one article, so this takes a few rounds over the (few) linked nodes.  A stored
     name stands for its article, whose other names need not be read.
     """
-    stands = own.select("node", F.col("node").alias("at"), "label")
-    if known is not None:
+    linked = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    stands = own.join(linked, "node", "left_semi")
+    if known is None:
+        stands = stands.select("node", F.col("node").alias("at"), "label")
+    else:
         old = known.select("node", F.col("label.root").alias("at"), "label")
-        stands = own.join(known, "node", "left_anti").select("node", F.col("node").alias("at"), "label").unionByName(old)
+        stands = stands.join(known, "node", "left_anti").select("node", F.col("node").alias("at"), "label").unionByName(old)
     stands = materialise(stands, "stands")
     at = stands.select("node", "at")
     arcs = edges.join(at.withColumnsRenamed({"node": "a", "at": "p"}), "a").join(at.withColumnsRenamed({"node": "b", "at": "q"}), "b").filter("p <> q")
     arcs = materialise(arcs.select(F.explode(F.array(F.struct("p", "q"), F.struct(F.col("q").alias("p"), F.col("p").alias("q")))).alias("e")).select("e.*").distinct(), "arcs")
-    linked = arcs.select(F.col("p").alias("at")).distinct()
-    labels = materialise(stands.join(linked, "at", "left_semi").groupBy("at").agg(F.min("label").alias("label")), "labels")
+    joined = arcs.select(F.col("p").alias("at")).distinct()
+    labels = materialise(stands.join(joined, "at", "left_semi").groupBy("at").agg(F.min("label").alias("label")), "labels")
     while labels.head(1):
         around = arcs.join(labels.select(F.col("at").alias("q"), F.col("label").alias("other")), "q").groupBy("p").agg(F.min("other").alias("other"))
         moved = labels.join(around, F.col("at") == F.col("p")).select("at", F.least("label", "other").alias("label"), (F.col("other") < F.col("label")).alias("changed"))
-        moved = materialise(moved, "labels")
+        moved, before = materialise(moved, "labels"), labels
         labels = moved.drop("changed")
+        discard(before)
         if not moved.filter("changed").head(1):
             break
     spread = labels.withColumnRenamed("label", "_label")
-    return materialise(stands.join(spread, "at", "left").select("node", F.coalesce("_label", "label").alias("label")), "ties")
+    ties = materialise(stands.join(spread, "at", "left").select("node", F.coalesce("_label", "label").alias("label")), "ties")
+    discard(stands, arcs)
+    return ties
 
 
 def found(items: DataFrame, seen: DataFrame) -> DataFrame:
