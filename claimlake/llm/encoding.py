@@ -38,20 +38,28 @@ _INNER = "”“‘«»–—…•·©®™€£§¿¡½¼¾ªº°¸¶¨˜ˆ˚
 _UPPER = "ÁÀÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
 #: What the continuation bytes of UTF-8 look like in Windows-1252 and Latin-1.
 _TAIL = "\u0080-¿ŒœŠšŽžŸƒˆ˜–—‘’“”‚„†‡•…‰‹›€™"
-#: Always garbled, whatever stands around: lost characters, C1 controls, box drawing.
-_HARD = re.compile("[�\u0080-\u009f─-▟]")
+#: Always garbled, whatever stands around: lost characters, C1 controls.
+_HARD = re.compile("[�\u0080-\u009f]")
+#: Box drawing draws a box unless it touches a word; an upright line may, but for one that follows a lead byte.
+_BOX = "─-▟"
+_BOXED = re.compile(
+    f"(?<![{_BOX}])[{_BOX}]{{1,3}}(?=\\w)(?<!(?<![├┬])[│┃])|(?<=\\w)[{_BOX}]{{1,3}}(?![{_BOX}])(?<!(?<![├┬])[│┃])|[├┬][^\x00-\x7f](?![{_BOX}])|(?<![{_BOX}])[┴╔╚╩](?= [a-zà-ÿ])"
+)
 _COSTS = (
     (_HARD, 4.0),
+    (_BOXED, 4.0),
     # A lead byte of UTF-8 with a continuation byte after it; a capital word before a closing quote is sound.
     (re.compile(f"(?<![A-ZÀ-Ý])[ÃÂ](?=[{_TAIL}])|[ÃÂ](?=[\u0080-¹»-¿ŒœŠšŽžŸƒˆ˜‚„†‡‰‹›€™])"), 3.0),
     (re.compile("â(?=[€\u0080‚])|Ã(?=[ƒ‚])|√(?=[^\\W\\d_]|[ -ÿ‰-⌀])|‚Ä(?=.)|¬(?=[∫ª°])|ÔÇ(?=.)|в(?=[Ђ‚])"), 3.0),
     (re.compile("[Ѐ-ӿ]+(?=[A-Za-z -¿“”‚„…†‡€‰‹›–—•™])|(?<=[A-Za-z])[Ѐ-ӿ]"), 3.0),
     (re.compile(f"(?<=[a-záàâãéêíóôõúüçñ])[{_UPPER}]"), 2.0),
     (re.compile(f"(?<=[^\\W\\d_])[{_INNER}](?=[^\\W\\d_])"), 2.0),
+    # Letters where no language has them: ß before a word or after a consonant, þ and ð within a word, a capital as a word of its own.
+    (re.compile("(?<![aeiouäöüAEIOUÄÖÜ])ß|(?<=\\w)[þð]|(?<=[a-zà-ÿ] )[ÚÈ](?= [a-zà-ÿ])|(?<= )[ìôö](?=\\w[^\n]*[îöô])"), 1.0),
     (re.compile(f"[{FOREIGN}]"), 1.0),
 )
 #: Whole words in Greek, Cyrillic, Hebrew, Arabic or an East Asian script are sound; only their mixture with Latin isn't.
-_ODD = re.compile(f"[^\x00-\x7f{USUAL}{FOREIGN}\u0370-\u06ff\u2190-\u21ff\u2300-\u23ff\u25a0-\u2fff\u3000-\ud7ff\uf900-\uffef\U00010000-\U0010ffff]")
+_ODD = re.compile(f"[^\x00-\x7f{USUAL}{FOREIGN}\u0370-\u06ff\u2190-\u21ff\u2300-\u23ff\u2500-\u2fff\u3000-\ud7ff\uf900-\uffef\U00010000-\U0010ffff]")
 
 #: JVM-side test that lets only possibly garbled fields into Python; everything the costs look at passes it.  Every
 #: branch stands behind one cheap test for a character beyond ASCII, so that most characters meet no other.
@@ -63,12 +71,12 @@ SUSPECT = (
 )
 
 
-def cost(text: str) -> float:
-    """How garbled a text looks; 0 for ordinary text."""
+def cost(text: str, plain: bool = True) -> float:
+    """How garbled a text looks; 0 for ordinary text.  Without ``plain`` the letters of other languages cost nothing."""
     if text.isascii():
         return 0.0
     total = 1.5 * len(_ODD.findall(text))
-    for rx, weight in _COSTS:
+    for rx, weight in _COSTS if plain else _COSTS[:-1]:
         total += weight * len(rx.findall(text))
     return total
 
@@ -88,42 +96,47 @@ def _table(encoding: str) -> dict[str, int]:
 _RUN = re.compile("[^\x00-\x7f]+(?:(?<=[Ã├√Г]) )?")
 
 
-def _as_utf8(run: str) -> str | None:
-    """The run repaired by one layer, or None."""
-    best = None
-    for encoding in READ_AS:
-        table = _table(encoding)
-        # à is C3 A0 under UTF-8; its no-break space may have become a plain one.
-        body = run[:-1] + next((c for c, b in table.items() if b == 0xA0), "\u00a0") if run.endswith(" ") else run
+def _strictly(run: str, table: dict[str, int]) -> str:
+    """The whole run decoded as UTF-8 under one encoding; the run itself where it can't be."""
+    # à is C3 A0 under UTF-8; its no-break space may have become a plain one.
+    try:
+        return bytes(0xA0 if c == " " else table[c] for c in run).decode("utf-8")
+    except (KeyError, UnicodeDecodeError):
+        return run
+
+
+def _decoded(run: str, table: dict[str, int]) -> str:
+    """The run with every stretch that is a UTF-8 character under one encoding decoded; the rest stays.  One pass."""
+    out, at = [], 0
+    while at < len(run):
+        lead = table.get(run[at], 0)
+        width = 4 if lead >= 0xF0 else 3 if lead >= 0xE0 else 2 if lead >= 0xC2 else 1
+        # The no-break space among the bytes of à may have become a plain one.
+        data = bytes(0xA0 if c == " " else table.get(c, 0) for c in run[at : at + width])
         try:
-            fixed = bytes([table[c] for c in body]).decode("utf-8")
-        except (KeyError, UnicodeDecodeError):
-            continue
-        if best is None or cost(fixed) < cost(best):
-            best = fixed
-    return best
+            out.append(data.decode("utf-8") if width > 1 else run[at])
+        except UnicodeDecodeError:
+            out.append(run[at])
+            width = 1
+        at += width
+    return "".join(out)
 
 
 def _repair_runs(text: str) -> str:
     """Every run decoded as UTF-8 under the encoding that gives the least cost, where the cost drops."""
 
     def one(found: re.Match) -> str:
-        run, best = found.group(), found.group()
+        run = found.group()
         before, after = text[max(0, found.start() - 2) : found.start()], text[found.end() : found.end() + 2]
-        for _ in range(4):
-            fixed = _as_utf8(best)
-            if fixed is None or cost(before + fixed + after) >= cost(before + best + after):
+        best, least = run, cost(before + run + after)
+        # A run may join garbled characters and sound ones; it is taken apart only if it can't be decoded as a whole.
+        for decode in (_strictly, _decoded):
+            for encoding in READ_AS:
+                fixed = decode(run, _table(encoding))
+                if fixed != run and (now := cost(before + fixed + after)) < least:
+                    best, least = fixed, now
+            if best != run:
                 break
-            best = fixed
-        if best == run and len(run) > 2:
-            # A run may join a garbled character and a sound one; halves are tried as well.
-            for cut in range(len(run) - 1, 1, -1):
-                for head, tail in ((run[:cut], run[cut:]), (run[: len(run) - cut], run[len(run) - cut :])):
-                    a, b = _as_utf8(head) or head, _as_utf8(tail) or tail
-                    if cost(before + a + b + after) < cost(before + best + after):
-                        best = a + b
-                if best != run:
-                    break
         return best
 
     return _RUN.sub(one, text)
@@ -164,9 +177,10 @@ def _repair_single(text: str) -> str:
 
             def one(found: re.Match, read: str = read, meant: str = meant) -> str:
                 part = found.group()
-                now = cost(part)
+                # Letters of another language are no damage by themselves; something else must look wrong, and less so after.
+                now = cost(part, plain=False)
                 fixed = _single_byte(part, read, meant) if now else None
-                return fixed if fixed is not None and cost(fixed) < now else part
+                return fixed if fixed is not None and cost(fixed, plain=False) < now and cost(fixed) < cost(part) else part
 
             whole = stretches.sub(one, text)
             options.append((cost(whole), _rarity(whole), whole))
@@ -178,7 +192,8 @@ def _repair_single(text: str) -> str:
 
 #: What remains garbled beyond doubt.
 _LEFT = re.compile(
-    "[\ufffd\u0080-\u009f\u2500-\u257f]|[a-záâãéêíóôõúç][ÃÂ][a-záâãéêíóôõúç]|[ÃÂ][\u00a1-\u00b9\u00bb-\u00bf]"
+    f"[\ufffd\u0080-\u009f]|{_BOXED.pattern}|"
+    "[a-záâãéêíóôõúç][ÃÂ][a-záâãéêíóôõúç]|[ÃÂ][\u00a1-\u00b9\u00bb-\u00bf]"
     "|√[\u00a0-\u00ff≠≥∫]|[ГВ][\u00a0-\u00bf]"
 )
 
@@ -195,7 +210,8 @@ def restore(text: str | None) -> tuple[str, str | None]:
     if not text or text.isascii() or not _SUSPECT.search(text):
         return "clean", text
     best = text
-    for _ in range(4):
+    # Each layer lowers the cost, so this ends.
+    while cost(best):
         step = _repair_runs(best)
         if step == best:
             step = _repair_single(best)

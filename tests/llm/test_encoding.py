@@ -59,3 +59,17 @@ def test_in_spark(spark):
     got = {(r["key"], r["field"], r["status"]) for r in e.restore_fields(df.withColumnRenamed("summary", "field"), "arrival", ["title", "field", "body"]).collect()}
     assert got == {(1, "field", "restored"), (2, "title", "lost"), (2, "body", "restored"), (1, "title", "restored"), (1, "body", "restored")}
     assert e.found(df).count() == 6 and e.found(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text", ["──────────", "┌──┐ │ab│ └──┘", "È vero che la città è bella", "où il était né", "Più libertà, perché no?", "Der Fußball und die Straße", "│ Total │ 12 │", "─" * 20_000]
+)
+def test_boxes_and_other_languages_stay(text):
+    assert e.restore(text) == ("clean", text)
+
+
+def test_layers_until_the_cost_stops():
+    text = bad = "A ação já é pública"
+    for _ in range(6):
+        bad = lenient(bad.encode(), "cp1252")
+    assert e.restore(bad) == ("restored", text)
