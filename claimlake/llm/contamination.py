@@ -3,7 +3,7 @@
 Method: a broadcast hash set of the normalised word n-grams of the test items; the
 corpus is scanned window by window, a hit is verified word for word (the set holds
 the n-grams themselves), and spans or documents are removed.  The set is broadcast
-only while it stays below a stated number of n-grams; beyond it the n-grams are a
+only while it stays below a stated number of words; beyond it the n-grams are a
 table, windows are joined to it by hash, and the hits are verified on the texts.
 """
 
@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from claimlake.session import materialise
 
-#: Words in a row that make a leak, and the most n-grams that are broadcast (about 200 bytes each).
-WORDS, BROADCAST_LIMIT = 13, 1_000_000
+#: Words in a row that make a leak, and the most words of test items whose n-grams are broadcast: an n-gram takes about
+#: 350 bytes in a Python worker, so the set stays below 90 MB.
+WORDS, BROADCAST_LIMIT = 13, 250_000
 
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[̀-ͯ᪰-᫿᷀-᷿⃐-⃿]+")
@@ -40,6 +41,23 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(plain(text)) if text else []
 
 
+def places(text: str) -> list[tuple[int, int]]:
+    """``(start, end)`` in characters of each of ``words(text)`` within the text as it stands; marks belong to the letter before them."""
+    owners: list[int] = []
+    made: list[str] = []
+    for i, c in enumerate(text):
+        for p in plain(c):
+            owners.append(i)
+            made.append(p)
+    out = []
+    for m in _WORD.finditer("".join(made)):
+        end = owners[m.end() - 1] + 1
+        while end < len(text) and _MARKS.fullmatch(text[end]):
+            end += 1
+        out.append((owners[m.start()], end))
+    return out
+
+
 def grams_of(items: list[tuple[int, str | None]], n: int) -> tuple[dict[tuple[str, ...], tuple[int, ...]], frozenset[str]]:
     """From each n-gram to the items that hold it, and all words of the items."""
     grams: dict[tuple[str, ...], set[int]] = {}
@@ -70,13 +88,20 @@ def scan(text: str | None, grams: dict, vocabulary: frozenset[str], n: int) -> d
     return hits
 
 
-_HITS = T.ArrayType(T.StructType().add("item", "long").add("first", "integer").add("past", "integer"))
+def _hits(text: str | None, grams: dict, vocabulary: frozenset[str], n: int) -> list[dict]:
+    """The leaks of one text, with their places in words and in characters."""
+    hits = scan(text, grams, vocabulary, n)
+    at = places(text) if hits else []
+    return [{"item": k, "first": a, "past": b, "start": at[a][0], "end": at[b - 1][1]} for k, spans in hits.items() for a, b in spans]
+
+
+_HITS = T.ArrayType(T.StructType().add("item", "long").add("first", "integer").add("past", "integer").add("start", "long").add("end", "long"))
 
 
 def leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, test_key: str, passage: str, *, n: int = WORDS, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """``key, item, first, past``: each stretch of at least ``n`` words that a document shares with a test item.
+    """``key, item, first, past, start, end``: each stretch of at least ``n`` words that a document shares with a test item.
 
-    ``first`` and ``past`` count words of the document from 0.  Null, empty and shorter
+    ``first`` and ``past`` count words of the document from 0, ``start`` and ``end`` characters of its text.  Null, empty and shorter
     texts and passages leak nothing; passages that occur under two keys are reported
     under both.
     """
@@ -89,12 +114,10 @@ def leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, test_key:
         def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             grams, vocabulary = held.value
             for texts in batches:
-                yield pd.Series([
-                    [{"item": k, "first": a, "past": b} for k, spans in scan(t, grams, vocabulary, n).items() for a, b in spans] for t in texts
-                ])
+                yield pd.Series([_hits(t, grams, vocabulary, n) for t in texts])
 
         found = documents.select(F.col(f"`{key}`").alias("key"), F.explode(find(F.col(f"`{text}`"))).alias("h"))
-        return found.select("key", "h.item", "h.first", "h.past")
+        return found.select("key", "h.*")
     return _joined_leaks(documents, key, text, tests, test_key, passage, n)
 
 
@@ -114,8 +137,7 @@ def _joined_leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, t
     def verify(texts: pd.Series, keys: pd.Series, passages: pd.Series) -> pd.Series:
         out = []
         for t, k, p in zip(texts, keys, passages, strict=True):
-            grams, vocabulary = grams_of([(k, p)], n)
-            out.append([{"item": i, "first": a, "past": b} for i, spans in scan(t, grams, vocabulary, n).items() for a, b in spans])
+            out.append(_hits(t, *grams_of([(k, p)], n), n))
         return pd.Series(out)
 
     docs = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
@@ -124,7 +146,7 @@ def _joined_leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, t
     right = items.select("item", F.explode(F.array_distinct(windows("passage"))).alias("gram"))
     pairs = materialise(left.join(right, "gram").select("key", "item").distinct(), "pairs")
     checked = pairs.join(docs, "key").join(items, "item").select("key", F.explode(verify("text", "item", "passage")).alias("h"))
-    return checked.select("key", "h.item", "h.first", "h.past")
+    return checked.select("key", "h.*")
 
 
 @F.pandas_udf(T.StringType())
@@ -134,10 +156,8 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         if found is None or text is None:
             out.append(text)
             continue
-        text = unicodedata.normalize("NFC", text)
-        places = [m.span() for m in _WORD.finditer(text)]
-        for s in sorted(found, key=lambda s: -s["first"]):
-            text = text[: places[s["first"]][0]] + text[places[s["past"] - 1][1] :]
+        for s in sorted(found, key=lambda s: -s["start"]):
+            text = text[: s["start"]] + text[s["end"] :]
         out.append(text)
     return pd.Series(out)
 
@@ -150,11 +170,11 @@ def without_leaks(documents: DataFrame, key: str, text: str, tests: DataFrame, t
         return documents.join(bad, documents[key] == bad["key"], "left_anti")
     # Spans of several items may overlap; they are merged before cutting.
     merged = F.aggregate(
-        F.array_sort(F.collect_set(F.struct("first", "past"))),
-        F.array().cast("array<struct<first:int,past:int>>"),
+        F.array_sort(F.collect_set(F.struct("start", "end"))),
+        F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["past"] >= s["first"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["past"], s["past"]).alias("past")))),
+            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= s["start"]),
+            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))),
         ).otherwise(F.concat(acc, F.array(s))),
     )
     spans = found.groupBy("key").agg(merged.alias("_spans"))

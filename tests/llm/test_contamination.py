@@ -50,3 +50,12 @@ def test_removal(spark):
 def test_empty(spark):
     d, t = tables(spark, [], [])
     assert c.found(d, t).count() == 0
+
+
+def test_removal_keeps_the_text_around_as_it_is(spark):
+    """Marks that no composed letter holds, and decomposed letters, before, in and behind the passage."""
+    passage = " ".join(f"palavra{i}" for i in range(14))
+    leaked = passage.replace("palavra3", "pala\u0301vra3").replace("palavra13", "palavra1\u03033\u0303")
+    d, t = tables(spark, [(1, f"e\u0301 q\u0303x antes {leaked} depois\u0301 e\u0301.")], [(1, passage)])
+    assert c.without_leaks(d, "doc_id", "text", t, "eval_id", "passage").first()["text"] == "e\u0301 q\u0303x antes  depois\u0301 e\u0301."
+    assert [(len(c.words(x)), len(c.places(x))) for x in (leaked, "ΣΑΣ İx ǅ ﬁm")] == [(14, 14), (4, 4)]
