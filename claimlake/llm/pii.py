@@ -133,7 +133,7 @@ _BIRTH = re.compile(r"(?i)\b(?:nascid[oa](?: em)?|nascimento:?|d\.?n\.?:?|nacid[
 def _name_at(text: str, at: int) -> int | None:
     """The end of a person's name that begins at ``at``; None if there is no name."""
     end, count, style, place = at, 0, "", at
-    while count < 5:
+    while True:
         m = _NAME_WORD.match(text, place)
         if not m:
             break

@@ -104,3 +104,18 @@ def test_in_spark(spark):
     df = spark.createDataFrame([(1, "Dúvidas: a@b.example.", "x"), (1, None, None), (2, "😀 a@b.example" + " y" * 100000, None)], "doc_id long, text string, start long".replace("start long", "key string"))
     assert sorted(tuple(r) for r in p.found(df).collect()) == [(1, "email", 9), (2, "email", 2)]
     assert p.masked(df, "text", "secret").count() == 3 and p.found(df.limit(0)).count() == 0
+
+
+def test_a_long_name_is_found_to_its_end():
+    text = "Falei com o Sr. João Carlos Pedro Manuel Antunes Souza Lima, morador daqui."
+    assert [text[s:e] for k, s, e in p.find(text) if k == "name"] == ["João Carlos Pedro Manuel Antunes Souza Lima"]
+
+
+def test_numbers_keep_their_format_and_can_be_turned_back():
+    feistel = p.Feistel(b"k")
+    for value in ("249.527.389-28", "(57) 9 5380-1466"):
+        digits = "".join(c for c in value if c.isdigit())
+        moved = feistel.digits(digits, "id_number")
+        assert len(moved) == len(digits) and moved != digits and feistel.digits(moved, "id_number", back=True) == digits
+        shown = p.pseudonym("id_number", value, feistel)
+        assert [c if not c.isdigit() else "0" for c in value] == [c if not c.isdigit() else "0" for c in shown[len("[ID_NUMBER ") : -1]]
