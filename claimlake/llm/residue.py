@@ -5,8 +5,10 @@ exemplar.  A field is cut into passage windows; each window retrieves the
 exemplars it shares tokens with, and TF-IDF containment is computed both ways:
 how much of an exemplar stands in the window, and how much of the window the
 retrieved exemplars cover.  A window that is covered for the most part is residue.
-Unfilled placeholders become tokens of their own kind first, so they are exemplars
-of one token and count beside any amount of real text.  Inverse document
+Unfilled placeholders become tokens of their own kind first.  A notation that
+nothing but a template uses is an exemplar that counts beside any amount of real text;
+bracketed capitals count so only if a template's word stands in them, and a word said
+over and over is weighed in its window like all else.  Inverse document
 frequencies are counted over all fields.
 """
 
@@ -70,15 +72,22 @@ EXEMPLARS = {
 COVERED, CONTAINED = 0.7, 0.6
 
 _NAME = r"[A-Za-zÀ-ÿ_][\wÀ-ÿ]*(?:[.\-][\wÀ-ÿ]+)*"
+# Words that name what belongs in a template's slot, as they stand between brackets.
+SLOTS = (
+    "INSERIR INSIRA DIGITE PREENCHER SUBSTITUIR AQUI TÍTULO TITULO TITLE HEADLINE MANCHETE SUBTÍTULO RESUMO SUMMARY DESCRIÇÃO DESCRICAO DESCRIPTION TEXTO TEXT CORPO BODY "
+    "DATA DATE ANO YEAR HORA TIME NOME NAME AUTOR AUTHOR USER USUÁRIO CIDADE CITY LOCAL PLACE SECAO SEÇÃO SECTION CATEGORIA AGENCY AGÊNCIA CLAIM ALEGAÇÃO LINK URL IMAGEM IMAGE "
+    "LEGENDA FONTE SOURCE INSERT YOUR HERE PLACEHOLDER TODO TBD"
+)
+_SLOT = "(?:" + "|".join(SLOTS.split()) + ")"
 #: Notations of unfilled placeholders and the token each becomes, the longest brackets first.
 NOTATIONS = tuple(
     (f" ⟦{mark}⟧ ", rx)
     for mark, rx in (
-        ("{{", r"\{\{\{?[^{}\n]{0,200}\}?\}\}"),
-        ("{%", r"\{%[^{}%\n]{0,200}%\}"),
-        ("<%", r"<%[=\-]?[^<>%\n]{0,200}%>"),
-        ("${", r"\$\{[^{}\n]{0,200}\}"),
-        ("#{", r"#\{[^{}\n]{0,200}\}"),
+        ("{{", r"\{\{\{?[^{}\n]*\}?\}\}"),
+        ("{%", r"\{%[^{}%\n]*%\}"),
+        ("<%", r"<%[=\-]?[^<>%\n]*%>"),
+        ("${", r"\$\{[^{}\n]*\}"),
+        ("#{", r"#\{[^{}\n]*\}"),
         ("[[", rf"\[\[\s*{_NAME}\s*\]\]"),
         ("%%", rf"%%{_NAME}%%"),
         ("@@", rf"@@{_NAME}@@"),
@@ -87,8 +96,8 @@ NOTATIONS = tuple(
         ("{", rf"\{{\s*(?:{_NAME}|\d{{1,2}})\s*\}}"),
         ("$", rf"\$[A-Za-z_][A-Za-z_.]+\$"),
         ("%", r"(?<![\w%])%[A-Z_]{2,}%(?!\w)"),
-        ("<", r"<[A-ZÀ-Ý]{2,}(?:[_.][A-ZÀ-Ý]+)*>"),
-        ("[", r"\[[A-ZÀ-Ý]{2,}(?:[ _.][A-ZÀ-Ý]+)*\]"),
+        ("<", rf"<(?:[A-ZÀ-Ý]+[ _.])*{_SLOT}(?:[ _.][A-ZÀ-Ý]+)*>|<[A-Z]+(?:[_.][A-Z]+)+>"),
+        ("[", rf"\[(?:[A-ZÀ-Ý]+[ _.])*{_SLOT}(?:[ _.][A-ZÀ-Ý]+)*\]|\[[A-Z]+(?:[_.][A-Z]+)+\]"),
         ("xx", r"(?i)(?<!\w)x{3,}(?:[\s.,]+x{3,})+(?!\w)"),
         ("rep", r"(?i)(?<!\w)([^\W\d_]{3,})(?:[\s,.]+\1){3,}(?!\w)"),
     )
@@ -96,6 +105,7 @@ NOTATIONS = tuple(
 _NOTATIONS = tuple((mark, re.compile(rx)) for mark, rx in NOTATIONS)
 _SOME = re.compile(r"[{}<>%$#@_\[\]]|(?i:x{3}|(\b\w{3,})\W+\1\W+\1)")
 _TOKEN = re.compile(r"⟦[^⟧]+⟧|(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{4,}|\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)?")
+_MARK = re.compile("⟦[^⟧]+⟧")
 _DIGIT = re.compile(r"\d")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|[\n\r|]+|\s[-–—]\s")
 
@@ -162,7 +172,7 @@ class ExemplarIndex:
             return None, 0.0, None
         marked = _mark(text)
         best: tuple[str | None, float, str | None] = (None, 0.0, None)
-        if "⟦" in marked:
+        if any(self.items[n][0] == "placeholder" for t in _MARK.findall(marked) if t != "⟦rep⟧" for n in self.postings.get(t, ())):
             return "placeholder", 1.0, text
         windows = [marked, *(w for w in _SENTENCE.split(marked) if w and w != marked)]
         for w in windows:

@@ -45,3 +45,10 @@ def test_frequencies_count_what_is_compared(spark):
     index = r.ExemplarIndex({"error": ("Erro 404",)})
     fields = spark.createDataFrame([("Erro 12",), ("em 7 de maio",), ("sem nada",)], "value string")
     assert r._counts(fields, index) == ({"erro": 1, "0": 2}, 3)
+
+
+@pytest.mark.parametrize("text", ["[FALSO] Vídeo mostra enchente em 2019", "[VÍDEO] Ministro disse isso", "Bla, bla, bla, bla: o discurso", "Guia de <SP> a <RJ>"])
+def test_headlines_with_brackets_or_repeated_words_stay(text):
+    index = r.ExemplarIndex()
+    index.weigh({}, 100)
+    assert index.classify(text)[0] is None
