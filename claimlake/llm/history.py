@@ -98,7 +98,7 @@ def address(url: str | None) -> tuple[str, str, str, int]:
 
 #: Rows of a chunk behind which no chunk survives an edit; rows of a whole name, and of one without its last words.
 _AT_END, _WHOLE, _LONGER = "place > 0 and mate = 0", "place = 0 and mate = 1", "place = 0 and mate = 2"
-_PIECE = "key long, node long, place int, bytes int, size int, mate int"
+_PIECE = "key long, node long, place int, bytes int, mate int, bag long"
 
 
 def pieces(name: str, seed: int) -> list[tuple[int, int, int, int]]:
@@ -145,6 +145,14 @@ def pieces(name: str, seed: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def bag(name: str) -> int:
+    """Which characters a name holds an odd number of times, as bits; one edit changes two of them at most, a swap none."""
+    bits = 0
+    for c in name:
+        bits ^= 1 << ord(c) % 63
+    return bits
+
+
 def rests(name: str, place: int) -> list[str]:
     """What an edit leaves of the part of a name that a common chunk doesn't cover: the part, its characters in order, and it without one of them.
 
@@ -160,13 +168,13 @@ def rests(name: str, place: int) -> list[str]:
 
 def _flat_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, scope, numbers, name`` to one row of ``_PIECE`` per chained chunk."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), *((c, pa.int32()) for c in ("place", "bytes", "size", "mate"))])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), *((c, pa.int32()) for c in ("place", "bytes", "mate")), ("bag", pa.int64())])
     for batch in batches:
         columns: list[list] = [[] for _ in schema]
         for node, scope, numbers, name in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            size = len(name.encode())
+            bits = bag(name)
             for key, place, own, mate in pieces(name, xxhash.xxh64_intdigest(f"{scope}\x00{numbers}")):
-                for column, value in zip(columns, (key, node, place, own, size, mate), strict=True):
+                for column, value in zip(columns, (key, node, place, own, mate, bits), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -301,7 +309,7 @@ class ChunkIndex:
         if stored is not None:
             fresh = fresh.join(stored.select("node"), "node", "left_anti")
         # A record's id is one more thing that its names share; it has no bytes of the name.
-        nothing = [F.lit(0).alias(c) for c in ("place", "bytes", "size", "mate")]
+        nothing = [*[F.lit(0).alias(c) for c in ("place", "bytes", "mate")], F.lit(0).cast("long").alias("bag")]
         ids = rows.filter("record <> ''").select(F.xxhash64(F.lit("id"), "scope", "record").alias("key"), "node", *nothing)
         self._insert("chunks", fresh.mapInArrow(_flat_pieces, _PIECE).unionByName(ids.distinct()), number)
         shared = self._shared(number)
@@ -381,7 +389,7 @@ def _same_record(shared: DataFrame) -> DataFrame:
 
 def _candidates(shared: DataFrame, facts: Callable[[DataFrame], DataFrame], listed: int) -> DataFrame:
     """``x, y, cut``: pairs of names that share the chunks which one edit or a cut end leaves in common."""
-    mine = shared.filter("mine and place <> 0").select("node", F.struct("place", "n", "key", "mate", "size").alias("piece"))
+    mine = shared.filter("mine and place <> 0").select("node", F.struct("place", "n", "key", "mate", "bag").alias("piece"))
     held = mine.groupBy("node").agg(F.collect_list("piece").alias("pieces"))  # as many as a name has chunks
     after = F.map_from_entries(F.transform(F.filter("pieces", lambda p: p["place"] < 0), lambda p: F.struct(-p["place"], p)))
 
@@ -394,10 +402,10 @@ def _candidates(shared: DataFrame, facts: Callable[[DataFrame], DataFrame], list
     )
     probes = held.withColumn("after", after).select(F.col("node").alias("x"), F.explode(F.array_distinct(F.filter(chosen, lambda p: p["n"] > 1))).alias("p"))
     # Where an edit may reach the end of one spelling it may in the other.
-    probes = materialise(probes.select("x", "p.key", "p.n", ((F.col("p.place") > 0) & (F.col("p.mate") == 0)).alias("at_end"), F.col("p.size").alias("x_size")), "probes")
-    few = shared.filter((F.col("place") != 0) & (F.col("n") <= listed)).select("key", F.expr(_AT_END).alias("y_end"), F.col("node").alias("y"), F.col("size").alias("y_size"))
-    # One edit changes four bytes at most.
-    near = probes.filter(F.col("n") <= listed).join(few, "key").filter((F.col("x") != F.col("y")) & (F.abs(F.col("x_size") - F.col("y_size")) <= 4) & (~F.col("at_end") | F.col("y_end"))).select("x", "y")
+    probes = materialise(probes.select("x", "p.key", "p.n", ((F.col("p.place") > 0) & (F.col("p.mate") == 0)).alias("at_end"), F.col("p.bag").alias("x_bag")), "probes")
+    few = shared.filter((F.col("place") != 0) & (F.col("n") <= listed)).select("key", F.expr(_AT_END).alias("y_end"), F.col("node").alias("y"), F.col("bag").alias("y_bag"))
+    # One edit changes two bits at most; what else a common chunk's names have is told apart here.
+    near = probes.filter(F.col("n") <= listed).join(few, "key").filter((F.col("x") != F.col("y")) & (F.bit_count(F.col("x_bag").bitwiseXOR(F.col("y_bag"))) <= 2) & (~F.col("at_end") | F.col("y_end"))).select("x", "y")
     pairs = near.unionByName(_of_common(probes.filter(F.col("n") > listed), shared, facts))
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.lit(False).alias("cut"))
     # A cut name's last chunk and size are those of the longer name without its last words.
@@ -433,16 +441,15 @@ def _of_common(probes: DataFrame, shared: DataFrame, facts: Callable[[DataFrame]
 
 def _covered(pairs: DataFrame, shared: DataFrame) -> DataFrame:
     """The pairs of which shared chunks cover ``COVERAGE`` of the shorter record."""
-    held = shared.filter("place <> 0").select("node", "key", "bytes", "size")
-    left = held.select(F.col("node").alias("x"), "key", "bytes", F.col("size").alias("x_size"))
-    right = held.select(F.col("node").alias("y"), "key", F.col("size").alias("y_size"))
-    by = ("x", "y", "cut", "same_place")
-    total = pairs.join(left, "x").join(right, ["y", "key"]).groupBy(*by).agg(F.sum("bytes").alias("bytes"), F.min(F.least("x_size", "y_size")).alias("size"))
-    return materialise(total.filter(F.col("bytes") >= COVERAGE * F.col("size")).select(*by), "covered")
+    held = shared.filter("place <> 0").select("node", "key", "bytes")
+    left = held.select(F.col("node").alias("x"), "key", "bytes")
+    by = ("x", "y", "cut", "same_place", "size")
+    total = pairs.join(left, "x").join(held.select(F.col("node").alias("y"), "key"), ["y", "key"]).groupBy(*by).agg(F.sum("bytes").alias("bytes"))
+    return materialise(total.filter(F.col("bytes") >= COVERAGE * F.col("size")).drop("bytes", "size"), "covered")
 
 
 def _judge(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """``x, y, cut, same_place`` of the pairs whose difference is one edit within a word, or a cut end."""
+    """``x, y, cut, same_place, size`` (of the shorter) of the pairs whose difference is one edit within a word, or a cut end."""
     facts = facts.select("node", "name", F.hash("place").alias("place"), "words")
     sides = [facts.select(*[F.col(c).alias(f"{side}_{c}" if c != "node" else side) for c in facts.columns]) for side in "xy"]
     both = pairs.join(sides[0], "x").join(sides[1], "y")
@@ -455,7 +462,8 @@ def _judge(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     more = F.size(F.split(b, "-")) - F.size(F.split(a, "-"))
     ends = b.startswith(F.concat(a, F.lit("-"))) & more.between(1, CUT_WORDS) & (F.col("y_words") - F.col("x_words") <= CUT_WORDS)
     right = F.when(F.col("cut"), ends & (F.octet_length(a) >= CUT_SHARE * F.octet_length(b))).otherwise((gap == 1) | swapped)
-    return materialise(both.filter(right).select("x", "y", "cut", (F.col("x_place") == F.col("y_place")).alias("same_place")), "judged")
+    same, size = F.col("x_place") == F.col("y_place"), F.least(F.octet_length(a), F.octet_length(b))
+    return materialise(both.filter(right).select("x", "y", "cut", same.alias("same_place"), size.alias("size")), "judged")
 
 
 def _cut(cut: DataFrame, labels: DataFrame) -> DataFrame:
