@@ -30,9 +30,6 @@ from claimlake.session import materialise
 #: Where a vocabulary file lies, tokens of a container, and the largest capacity (it bounds the histogram).
 TOKENIZER, CAPACITY, MAX_CAPACITY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", 2048, 65_536
 
-#: Up to this many items the plain best-fit plan is made as well, and the better of both is taken.
-COMPARE_ITEMS = 200_000
-
 #: Pricing steps, the share of the scarcest length that one step takes, and how fast prices fall.
 STEPS, STEP, RATE = 600, 0.25, 0.5
 
@@ -111,29 +108,44 @@ def solve(histogram: dict[int, int], capacity: int) -> list[tuple[Counter, float
     return [(Counter(dict(k)), x) for k, x in used.items()]
 
 
-def best_fit(histogram: Counter, capacity: int) -> list[Counter]:
-    """Best-fit-decreasing over the histogram."""
-    free: dict[int, list[Counter]] = {}
-    spaces: list[int] = []  # ascending spaces that some container has
-    out: list[Counter] = []
+def best_fit(histogram: Counter, capacity: int) -> list[tuple[Counter, int]]:
+    """Best-fit-decreasing over the histogram: ``(configuration, containers)``.
+
+    Containers filled alike are one entry with a count, so time and memory follow the
+    different lengths and fillings, not the items.
+    """
+    # From each space that is left to the fillings that leave it, with how many containers there are of each.
+    free: dict[int, Counter] = {capacity: Counter()}
+    spaces = [capacity]  # ascending
+
+    def put(filling: tuple, space: int, boxes: int) -> None:
+        if space not in free:
+            free[space] = Counter()
+            bisect.insort(spaces, space)
+        free[space][filling] += boxes
+
     for length in sorted(histogram, reverse=True):
-        for _ in range(histogram[length]):
-            i = bisect.bisect_left(spaces, length)
-            if i < len(spaces):
-                space = spaces[i]
-                box = free[space].pop()
-                if not free[space]:
-                    del free[space], spaces[i]
+        left = histogram[length]
+        while left:
+            # The fullest container that still takes the length; it stays the fullest until it takes no more.
+            space = spaces[bisect.bisect_left(spaces, length)]
+            each = space // length
+            if free[space]:
+                filling, boxes = next(iter(free[space].items()))
             else:
-                space, box = capacity, Counter()
-                out.append(box)
-            box[length] += 1
-            rest = space - length
-            if rest not in free:
-                free[rest] = []
-                bisect.insort(spaces, rest)
-            free[rest].append(box)
-    return out
+                filling, boxes = (), -(-left // each)  # new containers; the one space without any is the whole capacity
+            used = min(boxes, left // each)
+            times = each if used else left
+            used = used or 1
+            if filling:
+                free[space][filling] -= used
+                if not free[space][filling]:
+                    del free[space][filling]
+                    if not free[space] and space != capacity:
+                        del free[space], spaces[bisect.bisect_left(spaces, space)]
+            put((*filling, (length, times)), space - times * length, used)
+            left -= used * times
+    return [(Counter(dict(filling)), boxes) for fillings in free.values() for filling, boxes in fillings.items()]
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
@@ -149,13 +161,10 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
             out.append((config, whole))
             for n, t in config.items():
                 left[n] -= whole * t
-    rest = best_fit(+left, capacity)
-    if sum(histogram.values()) <= COMPARE_ITEMS:
-        plain = best_fit(Counter(histogram), capacity)
-        if len(plain) < len(rest) + sum(n for _, n in out):
-            out, rest = [], plain
-    merged = Counter(tuple(sorted(box.items())) for box in rest)
-    return out + [(Counter(dict(k)), n) for k, n in merged.items()]
+    out += best_fit(+left, capacity)
+    # The plain plan is another feasible one; the better is taken.
+    plain = best_fit(Counter(histogram), capacity)
+    return min(out, plain, key=lambda plan_: sum(n for _, n in plan_))
 
 
 def pack(df: DataFrame, key: str, tokens: str, capacity: int = CAPACITY) -> DataFrame:

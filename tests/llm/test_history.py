@@ -98,3 +98,42 @@ def test_a_change_moves_only_near_chunks(at):
     changed = data[:at] + b"Q" + data[at + 1 :]
     a, b = set(h.chunk_ends(data)), set(h.chunk_ends(changed))
     assert all(at < e <= at + 5 for e in a ^ b)
+
+
+def test_listing_and_rests_find_the_same(spark):
+    """However few records of a chunk are listed one by one, the answers are the same."""
+    rng = random.Random(7)
+    stem = "checamos-se-pilula-de-vinagre-cura-anemia-em-tres-dias-em-vila-"
+    names = [stem + "".join(rng.choice("bcdfglm") + rng.choice("aeiou") for _ in range(4)) for _ in range(40)]
+    names += [n[:k] + n[k + 1 :] for n in names[:20] for k in (rng.randrange(10, len(n) - 1),)]
+    df = spark.createDataFrame([("a", f"i{i}", BASE + n, i) for i, n in enumerate(names)], "s string, i string, u string, n int")
+    answers = []
+    for listed in (1, 10**6):
+        index = h.ChunkIndex(spark, listed=listed)
+        answers.append({(r["record"], r["accepted"]) for r in index.check(h.records(df, "s", "i", "u", "n")).collect()})
+    assert answers[0] == answers[1] and sum(a is not None for _, a in answers[0]) >= 15
+
+
+def test_a_small_batch_moves_no_more_beside_a_larger_history(spark):
+    """Rows written to shuffles by a batch of a few rows, beside a history and one ten times as large."""
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(2, 5)))
+    slug = lambda: "-".join(word() for _ in range(8))
+    rows = lambda slugs, at: h.records(spark.createDataFrame([("a", f"i{at + n}", BASE + s, at + n) for n, s in enumerate(slugs)], "s string, i string, u string, n int"), "s", "i", "u", "n")
+    known = [slug() for _ in range(2000)]
+    batch = [k[:9] + k[10:] for k in known[:8]] + [slug() for _ in range(8)]
+
+    def stages() -> dict[int, int]:
+        store = spark.sparkContext._jsc.sc().statusStore()
+        kept = store.stageList(None, False, False, spark._sc._gateway.new_array(spark._jvm.double, 0), None)
+        return {kept.apply(i).stageId(): kept.apply(i).shuffleWriteRecords() for i in range(kept.size())}
+
+    took = []
+    for size in (200, 2000):
+        index = h.ChunkIndex(spark)
+        index.append(rows(known[:size], 0))
+        checked = rows(batch, 10_000)
+        before = max(stages())
+        assert index.check(checked).filter("accepted is not null").count() == 8
+        took.append(sum(n for i, n in stages().items() if i > before))
+    assert took[1] <= 1.3 * took[0]

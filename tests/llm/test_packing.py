@@ -18,7 +18,7 @@ def test_plan_holds_every_item_once(histogram):
         held.update({a: b * n for a, b in config.items()})
     assert held == Counter(histogram)
     used, low = sum(n for _, n in plan), math.ceil(sum(a * b for a, b in histogram.items()) / 60)
-    assert low <= used <= len(p.best_fit(Counter(histogram), 60))
+    assert low <= used <= sum(n for _, n in p.best_fit(Counter(histogram), 60))
 
 
 def test_near_the_lower_bound_where_best_fit_fails():
@@ -62,3 +62,32 @@ def test_tokens(spark):
     df = spark.createDataFrame([("Olá, mundo",), (None,), ("",), ("a " * 20000,)], "text string")
     got = [r[0] for r in df.select(p.token_count(df["text"])).collect()]
     assert got[0] == len(p.encoder(p.TOKENIZER).encode_ordinary("Olá, mundo")) and got[1:3] == [0, 0] and got[3] >= 20000
+
+
+def item_by_item(histogram, capacity):
+    boxes = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            room = [b for b in boxes if b >= length]
+            if room:
+                boxes.remove(min(room))
+            boxes.append((min(room) if room else capacity) - length)
+    return len(boxes)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 30), min_size=1, max_size=12))
+def test_best_fit_on_counts_is_best_fit_item_by_item(histogram):
+    got = p.best_fit(Counter(histogram), 30)
+    held: Counter = Counter()
+    for config, n in got:
+        assert sum(a * b for a, b in config.items()) <= 30
+        held.update({a: b * n for a, b in config.items()})
+    assert held == Counter(histogram) and sum(n for _, n in got) == item_by_item(histogram, 30)
+
+
+def test_a_hundred_million_items_are_planned_by_their_histogram():
+    histogram = {n: 50_000 + n for n in range(1, 2049)}
+    plan = p.best_fit(Counter(histogram), 2048)
+    low = math.ceil(sum(a * b for a, b in histogram.items()) / 2048)
+    assert len(plan) < 20_000 and low <= sum(n for _, n in plan) <= 1.01 * low
