@@ -52,13 +52,6 @@ def canonicalize_url(url: Column) -> Column:
     return F.when(url.isNull() | (url == ""), url).otherwise(out)
 
 
-@F.pandas_udf(T.StringType())
-def canonicalize_url_exact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The same by the standard library, for addresses with damaged percent sequences."""
-    for urls in batches:
-        yield pd.Series([canonical(u) for u in urls], dtype=object)
-
-
 @F.pandas_udf(T.StringType())
 def join_url(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """A link resolved against the page it stands on; null if there is no link."""

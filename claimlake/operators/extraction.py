@@ -8,6 +8,7 @@ article object, ``css:`` a selector, a bare name a field computed before it.
 
 from __future__ import annotations
 
+import codecs
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -256,14 +257,40 @@ def extract_articles(responses: DataFrame, collected_at: Column | None = None) -
     return made.withColumn("collected_at", collected_at if collected_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
 
 
+@F.pandas_udf(T.StringType())
+def _decoded(bodies: pd.Series, charsets: pd.Series) -> pd.Series:
+    """Bytes by their charset; null where there are none."""
+    out = []
+    for body, charset in zip(bodies, charsets, strict=True):
+        try:
+            codecs.lookup(charset or "utf-8")
+        except LookupError:
+            charset = None
+        out.append(None if body is None else bytes(body).decode(charset or "utf-8", "replace"))
+    return pd.Series(out, dtype=object)
+
+
 def normalised_responses(responses: DataFrame) -> DataFrame:
-    """Fetched bytes as text: charset from the header (UTF-8 for HTML), transfer headers dropped, ``needs_refetch`` where a robot check came back."""
+    """Fetched bytes as text: UTF-8 for HTML, else the charset of the header; ``needs_refetch`` where a robot check came back.
+
+    HTML is told by its content type or by how it begins, and its content type says
+    UTF-8 afterwards.  Headers that speak of the bytes as sent are dropped.  Bytes
+    that a charset doesn't have come out as U+FFFD, an unknown charset counts as UTF-8.
+    """
     kind = F.lower(F.coalesce(F.try_element_at("headers", F.lit("Content-Type")), F.try_element_at("headers", F.lit("content-type")), F.lit("")))
-    # Headers that describe the bytes as sent, not as kept.
-    gone = ("content-encoding", "content-length", "transfer-encoding", "connection")
-    headers = F.map_filter("headers", lambda k, _: ~F.lower(k).isin(*gone))
-    charset = F.nullif(F.regexp_extract(kind, r"charset=([\w-]+)", 1), F.lit(""))
-    latin = charset.isin("iso-8859-1", "latin-1", "windows-1252")
-    text = F.when(latin & ~F.contains(kind, F.lit("html")), F.decode("body", "ISO-8859-1")).otherwise(F.try_validate_utf8(F.col("body").cast("string")))
+    # Headers that describe the bytes as sent, not as kept; what HTML begins with.
+    gone = ("content-encoding", "transfer-encoding", "content-length", "content-md5")
+    begins = "<!doctype html", "<html", "<head", "<body"
+    start = F.lower(F.ltrim(F.regexp_replace(F.decode(F.substring("body", 1, 1024), "ISO-8859-1"), r"^\s+", "")))
+    html = F.coalesce(F.contains(kind, F.lit("html")), F.lit(False))
+    for b in begins:
+        html = html | F.coalesce(F.startswith(start, F.lit(b)), F.lit(False))
+    kept = F.map_filter("headers", lambda k, _: ~F.lower(k).isin(*gone))
+    other = F.map_filter(kept, lambda k, _: F.lower(k) != "content-type")
+    headers = F.when(html, F.map_concat(other, F.create_map(F.lit("Content-Type"), F.lit("text/html; charset=utf-8")))).otherwise(kept)
+    charset = F.when(html, "utf-8").otherwise(F.nullif(F.trim(F.regexp_extract(kind, r"charset=([^;]+)", 1)), F.lit("")))
+    # UTF-8 is read inside Spark; only other charsets, and bytes that aren't UTF-8, go to Python.
+    plain = F.when(F.coalesce(charset, F.lit("utf-8")).isin("utf-8", "utf8"), F.try_validate_utf8(F.col("body").cast("string")))
+    text = F.coalesce(plain, _decoded(F.when(plain.isNull(), F.col("body")), charset))
     return responses.withColumns({"body": text, "headers": headers}).withColumn("needs_refetch", looks_blocked(F.col("status"), F.col("body")))
 

@@ -51,21 +51,6 @@ def item_errors(kinds: dict[str, str] | None = None) -> Column:
     return F.filter(F.array(*checks), lambda e: e.isNotNull())
 
 
-def extraction_errors(title: Column, published_at: Column, *addresses: Column) -> Column:
-    """The reason codes of a page that gives no article; ``addresses`` are those the title must not be."""
-    own = urls.canonicalize_url(title)
-    same = F.lit(False)
-    for a in addresses:
-        same = same | own.eqNullSafe(urls.canonicalize_url(a))
-    codes = F.array(
-        F.when(text.squeeze(title).isNull(), "missing_title"),
-        F.when(text.is_probable_url(title) & same, "title_matches_url"),
-        F.when(text.squeeze(published_at).isNull(), "missing_published_at"),
-        F.when(text.is_date_placeholder(published_at), "placeholder_published_at"),
-    )
-    return F.filter(codes, lambda e: e.isNotNull())
-
-
 def decide(df: DataFrame, seen: DataFrame | None, *, arrival: str = "arrival", agency: str = "agency_id", canonicaliser: Column | None = None) -> DataFrame:
     """Adds ``errors``, ``dedupe_key`` and ``status`` (invalid, deduped, stored) to items in order of arrival.
 

@@ -101,26 +101,28 @@ def with_language_model(records: DataFrame, factory: Callable, batch_size: int =
 
     Tokens need ``text, lemma_, is_space, is_punct, is_stop``; entities ``text, label_,
     start_char, end_char``.  A lemma that cleans to nothing falls back to its token.
+    Each row is read where it lies, so rows of one id, or of none, stay as many as they are.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    made = f"struct<plain:string,lemmas:string,entities:{ENTITIES}>"
+
+    @F.pandas_udf(made)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = factory()
-        for batch in batches:
+        for texts in batches:
             plain, lemmas, entities = [], [], []
-            for doc in model.pipe(batch["text_for_ner"].tolist(), batch_size=batch_size):
+            for doc in model.pipe(["" if t is None else t for t in texts], batch_size=batch_size):
                 words = [t for t in doc if not t.is_space and not t.is_punct]
                 clean = lambda x: (text.analysis_text(x) or "").lower()
                 plain.append(" ".join(w for t in words if not t.is_stop and (w := clean(t.text))))
                 lemmas.append(" ".join(w for t in words if (w := clean(t.lemma_) or clean(t.text))))
                 entities.append([{"text": n, "label": e.label_, "start_char": e.start_char, "end_char": e.end_char} for e in doc.ents if (n := text.analysis_text(e.text))])
-            yield pd.DataFrame({"record_id": batch["record_id"], "_plain": plain, "_lemmas": lemmas, "_entities": entities})
-
-    schema = f"record_id string, _plain string, _lemmas string, _entities {ENTITIES}"
-    added = records.select("record_id", "text_for_ner").distinct().mapInPandas(run, schema)
-    joined = records.join(added, "record_id")
-    metadata = F.col("metadata").withField("entity_count", F.size("_entities"))
-    return joined.withColumns(
-        {"text_without_stopwords": F.col("_plain"), "lemmatized_text": F.col("_lemmas"), "entities": F.col("_entities"), "metadata": metadata}
+            yield pd.DataFrame({"plain": plain, "lemmas": lemmas, "entities": entities})
+
+    read = records.withColumn("_read", run("text_for_ner"))
+    metadata = F.col("metadata").withField("entity_count", F.size("_read.entities"))
+    return read.withColumns(
+        {"text_without_stopwords": F.col("_read.plain"), "lemmatized_text": F.col("_read.lemmas"), "entities": F.col("_read.entities"), "metadata": metadata}
     ).select(*RECORD_FIELDS)
 
 
@@ -148,6 +150,7 @@ def snapshot_counts(records: DataFrame) -> DataFrame:
 def build_snapshot(items: DataFrame, run_rows: DataFrame, path: str, snapshot_id: str, *, spiders: list[str] | None = None, factory: Callable | None = None, dataset: str = "claims") -> dict:
     """Writes the records of all spiders in one job, partitioned by spider, and the manifest; returns the manifest.
 
+    Records that break the contract stop the export before the manifest is written.
     Only the manifest's one row per spider comes to the driver.
     """
     selections = runs.select_runs(run_rows)
@@ -161,6 +164,9 @@ def build_snapshot(items: DataFrame, run_rows: DataFrame, path: str, snapshot_id
     out = records.withColumn("spider", F.col("metadata.spider"))
     out.write.mode("overwrite").partitionBy("spider").option("ignoreNullFields", "false").json(f"{home}/records")
     written = items.sparkSession.read.schema(out.schema).json(f"{home}/records")
+    bad = written.select("record_id", record_errors().alias("errors")).filter(F.size("errors") > 0).limit(5).collect()
+    if bad:
+        raise ValueError("records break the contract: " + "; ".join(f"{r['record_id']}: {', '.join(r['errors'])}" for r in bad))
     counts = written.groupBy("spider").agg(F.count("*").alias("records"))
     entries = [json.loads(r[0]) for r in runs.ordered(runs.manifest_entries(selections, counts)).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
     manifest = {"snapshot_id": snapshot_id, "records_path": f"{home}/records", "total_records": sum(e["record_count"] for e in entries), "spiders": {e["spider"]: e for e in entries}}

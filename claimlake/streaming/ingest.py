@@ -46,11 +46,6 @@ def start_ingest(stream: DataFrame, home: str, checkpoint: str, *, once: bool =
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def distinct_stream(stream: DataFrame) -> DataFrame:
-    """The stream with the first row of each id; its state grows with the ids and never expires."""
-    return stream.dropDuplicates(["item_id"])
-
-
 def counts_by_hour(stream: DataFrame, moment: str = "collected_at", late: str = "1 day") -> DataFrame:
     """Items per spider and hour of collection; rows later than ``late`` are left out."""
     at = F.try_to_timestamp(F.col(moment))

@@ -126,3 +126,16 @@ def test_frontier(spark):
 def test_sitemap_in_spark(spark):
     df = spark.createDataFrame([("<urlset><url><loc>a&amp;b</loc></url></urlset>",), ("<urlset><url>",), (None,)], "body string")
     assert [r["locations"] for r in d.sitemap_locations(df).collect()] == [["a&b"], None, None]
+
+
+def test_response_headers_and_charsets(spark):
+    rows = [
+        (200, bytearray("<html>é", "utf-8"), {"content-type": "text/plain; charset=iso-8859-1", "Content-MD5": "x", "Connection": "close"}),
+        (200, bytearray("“é”", "cp1252"), {"Content-Type": "text/plain; charset=windows-1252"}),
+        (200, bytearray("ж", "koi8-r"), {"Content-Type": "text/plain; charset=koi8-r; x=1"}),
+        (200, bytearray("é", "latin-1"), {"Content-Type": "text/plain; charset=unknown"}),
+        (200, None, None),
+    ]
+    got = x.normalised_responses(spark.createDataFrame(rows, "status int, body binary, headers map<string,string>")).collect()
+    assert [r["body"] for r in got] == ["<html>é", "“é”", "ж", "\ufffd", None]
+    assert got[0]["headers"] == {"Connection": "close", "Content-Type": "text/html; charset=utf-8"}

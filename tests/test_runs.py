@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from claimlake.operators import processing, quality, runs
 from claimlake.schema import RUN
@@ -130,3 +131,23 @@ def test_quality(spark):
     assert quality.quality_profile(df.drop("spider")).first()["spider"] == "unknown"
     assert quality.format_quality(quality.quality_profile(df.limit(0))) == "No items to analyze."
     assert "10.0" in quality.format_quality(quality.quality_profile(df))
+
+
+def test_language_model_keeps_rows_that_share_an_id(spark, flat):
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(__import__(__name__))
+    factory = model
+    df = items(spark, {"title": "t x ."}, {"title": "t x ."})
+    records = processing.processed_records(df, runs.select_runs(flat))
+    records = records.withColumn("record_id", F.lit("None"))
+    assert processing.with_language_model(records, factory).count() == records.count() == 2
+
+
+def test_records_that_break_the_contract_stop_the_export(spark, flat, tmp_path, monkeypatch):
+    df = items(spark, {"title": "t"})
+    whole = processing.processed_records
+    monkeypatch.setattr(processing, "processed_records", lambda *a: whole(*a).withColumn("variant", F.lit("other")))
+    with pytest.raises(ValueError, match="contract"):
+        processing.build_snapshot(df, flat, str(tmp_path), "s1")
+    assert not (tmp_path / "s1" / "manifest.json").exists()
