@@ -5,9 +5,8 @@ sequence of its lines' identifiers (hashes of the normalised lines).  Level 1
 counts, per source, in how many distinct documents a line stands; only frequent
 lines stay in the sequences, so the projected databases are a small part of the
 text.  Each further level extends every frequent prefix by one line found after
-its first occurrence, counted by shuffle again.  Occurrences of frequent
-sequences, single lines included, are deleted; since every line of a frequent
-sequence is a frequent sequence by itself, deletion mines the first level alone.
+its first occurrence, counted by shuffle again, until a level is empty.
+Occurrences of frequent sequences of every length, single lines included, are deleted.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.session import materialise
+from claimlake.session import discard, materialise
 
 #: A line is repeated if it stands in this many distinct documents of the source, and in this share of them.
 MIN_DOCUMENTS, MIN_SHARE = 5, 0.04
@@ -113,18 +112,20 @@ def frequent_sequences(
         level = materialise(count(grown, ["src", "lines"]), f"level{length}")
         out = out.unionByName(level.select("src", "lines", F.lit(length).alias("length"), "documents"))
         if length == max_length or not level.head(1):
+            discard(base, projected, need)
             return out
         frequent_prefix = level.select(F.col("src").alias("_s"), F.col("lines").alias("_p"))
-        projected = materialise(
+        shorter, projected = projected, materialise(
             grown.join(frequent_prefix, F.col("src").eqNullSafe(F.col("_s")) & (F.col("lines") == F.col("_p")), "left_semi"),
             f"projected{length}",
         )
+        discard(shorter)
 
 
 def repeated_lines(df: DataFrame, key: str, source: str, document: str, text: str, **options: float) -> DataFrame:
     """``key, line_no``: every occurrence of a line of a frequent sequence; lines are counted from 1, blank ones too."""
     lines = materialise(_lines(df, source, document, text, {"_key": key}), "lines")
-    sequences = frequent_sequences(df, source, document, text, lines=lines, **{"max_length": 1, **options})
+    sequences = frequent_sequences(df, source, document, text, lines=lines, **options)
     marks = sequences.select(F.col("src").alias("_s"), F.explode("lines").alias("_l")).distinct()
     hit = lines.join(materialise(marks, "marks"), F.col("src").eqNullSafe(F.col("_s")) & (F.col("line") == F.col("_l")), "left_semi")
     return hit.select(F.col("_key").alias("key"), "line_no")

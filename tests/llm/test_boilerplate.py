@@ -70,3 +70,18 @@ def test_bodies_come_back_without_them(spark):
 def test_support_counts_documents_not_rows(spark):
     rows = [(i, "a", "same", "linha do site") for i in range(10)]
     assert b.found(table(spark, rows)).count() == 0 and b.found(table(spark, [])).count() == 0
+
+
+def test_lines_are_taken_from_sequences_of_every_length(spark, monkeypatch):
+    rows, mined, mine = make(9, 120), [], b.frequent_sequences
+
+    def spy(*args, **options):
+        mined.append(mine(*args, **options).persist())
+        mined[-1].count()
+        return mined[-1]
+
+    monkeypatch.setattr(b, "frequent_sequences", spy)
+    assert b.found(table(spark, rows)).count() > 0
+    want = brute_sequences(rows, 7, 5, 0.04)
+    got = sorted((str(r["src"]), r["length"], r["documents"]) for r in mined[0].collect())
+    assert got == sorted((str(s), len(c), n) for (s, c), n in want.items()) and max(n for _, n, _ in got) > 1
