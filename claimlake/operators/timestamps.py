@@ -8,8 +8,9 @@ rows it holds.  Only the signature counts are shuffled; EM runs on them and
 learns, per source, how common each format and each year is.  The posterior
 then chooses each value's reading, and a reading without a clear lead is marked.
 
-With ``day_first`` the formats exclude one another, so each value has at most one
-reading and EM has nothing to choose; it acts where the order of numbers is open.
+With ``day_first`` day stands before month unless the year comes first.  Whether a
+year of two digits does ("24/12/31") is open, and so is whether a day that doesn't
+exist ("31/04/25") is one: there the mixture decides, with day first as its prior.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class Format:
     parts: str
 
 
-#: ``mdy`` and ``ymd2`` are read only where the caller leaves the order of numbers open.
+#: ``mdy`` is read only where the caller leaves the order of numbers open.
 FORMATS = (
     Format("iso", rf"(\d{{4}})[-/.](\d{{2}})[-/.](\d{{2}})(?:(?:T| |, )?{_CLOCK}{_AFTER})?", "1 2 3 4 5 6 7 - 8 9"),
     Format("compact", rf"(\d{{4}})(\d{{2}})(\d{{2}})T(\d{{2}})(\d{{2}})(?:(\d{{2}})(?:[.,](\d{{1,9}}))?)? ?{_ZONE}?", "1 2 3 4 5 6 7 - 8 -"),
@@ -89,6 +90,9 @@ EPOCHS = {"epoch_s": 6, "epoch_ms": 3, "epoch_us": 0, "epoch_ns": -3}
 #: A bare number outside these years isn't a moment in that unit.
 EPOCH_YEARS = (1971, 2100)
 
+#: With ``day_first``, a source counts as having so many more values that are read so.
+DAY_FIRST = {"dmy2": 50.0}
+
 #: A reading needs this share of the posterior, or it is marked as ambiguous.
 CLEAR = 0.9
 
@@ -154,11 +158,11 @@ def readings(value: Column, home_tz: Column, *, day_first: bool = True) -> Colum
     """All valid readings of a string: ``array<struct<format, utc>>``, empty if there is none.
 
     Null, blank, placeholder and relative values have none.  With ``day_first``
-    numbers are day before month unless a four-digit year comes first; without it
-    the month-first and two-digit-year-first readings compete as well.
+    numbers are day before month unless the year comes first, so both readings of a
+    two-digit year compete; without it the month-first reading competes as well.
     """
     text = F.regexp_replace(F.trim(F.regexp_replace(value, r"[\s\u00a0]+", " ")), r"^(?i)(.*\d)(T)(\d.*)$", "$1T$3")
-    formats = [f for f in FORMATS if not (day_first and f.name in ("mdy", "ymd2"))]
+    formats = [f for f in FORMATS if not (day_first and f.name == "mdy")]
     parsed = F.filter(F.array(*[_parts(text, f) for f in formats]), lambda p: p.isNotNull())
     written = F.transform(parsed, lambda p: F.struct(p[0].alias("format"), _moment(p, home_tz).alias("utc")))
     number = F.when(text.rlike(r"^-?\d{1,19}(\.\d{1,8})?$"), text.try_cast("decimal(27,8)"))
@@ -175,20 +179,30 @@ def readings(value: Column, home_tz: Column, *, day_first: bool = True) -> Colum
 
 
 def _signature(found: Column) -> Column:
-    return F.array_join(F.array_sort(F.transform(found, lambda r: F.concat_ws(":", r["format"], F.year(r["utc"]).cast("string")))), ",")
+    year = lambda r: F.coalesce(F.year(r["utc"]).cast("string"), F.lit("none"))
+    return F.array_join(F.array_sort(F.transform(found, lambda r: F.concat_ws(":", r["format"], year(r)))), ",")
+
+
+def _or_none(found: Column) -> Column:
+    """Adds "no such day" to a lone two-digit year in front that could also be meant as a day."""
+    none = F.array(F.struct(F.lit("dmy2").alias("format"), F.lit(None).cast("timestamp").alias("utc")))
+    lone = lambda f: (F.size(f) == 1) & (f[0]["format"] == "ymd2") & (F.year(f[0]["utc"]) % 100).between(1, 31)
+    # Bound by a lambda, so that the readings are made once.
+    return F.transform(F.array(found), lambda f: F.when(lone(f), F.concat(f, none)).otherwise(f))[0]
 
 
-def fit_mixture(signatures: pd.DataFrame, rounds: int = 50, prior: float = 0.5) -> pd.DataFrame:
+def fit_mixture(signatures: pd.DataFrame, rounds: int = 50, prior: float = 0.5, more: dict[str, float] | None = None) -> pd.DataFrame:
     """EM of one source from its columns ``signature`` and ``n``; adds ``format`` and ``posterior``.
 
-    Formats and years have Dirichlet priors of ``prior``, so a source of one row is defined too.
+    Formats and years have Dirichlet priors of ``prior``, so a source of one row is defined too;
+    ``more`` adds to the priors of single formats.
     """
     options = [[tuple(o.rsplit(":", 1)) for o in s.split(",")] for s in signatures["signature"]]
     counts = signatures["n"].to_numpy(dtype=float)
     formats, years = {f for o in options for f, _ in o}, {y for o in options for _, y in o}
     weight, share = dict.fromkeys(formats, 1 / len(formats)), dict.fromkeys(years, 1 / len(years))
     for _ in range(rounds):
-        new_weight, new_share = dict.fromkeys(formats, prior), dict.fromkeys(years, prior)
+        new_weight, new_share = {f: prior + (more or {}).get(f, 0.0) for f in formats}, dict.fromkeys(years, prior)
         for found, n in zip(options, counts, strict=True):
             mass = [weight[f] * share[y] for f, y in found]
             total = sum(mass)
@@ -229,6 +243,8 @@ def normalise_timestamps(
     # The row travels as one struct, so that its columns may have any names.
     row = F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("_row")
     read = base.select(row, *keys, readings(F.col(f"`{value}`"), F.col(f"`{home_tz}`"), day_first=day_first).alias("_found"))
+    if day_first:
+        read = read.withColumn("_found", _or_none(F.col("_found")))
     read = read.withColumn("_signature", _signature(F.col("_found")))
     # A value of one reading teaches its source that format; it is counted like the open ones.
     counts = read.filter(F.size("_found") > 0).groupBy(*names, "_signature").agg(F.count("*").alias("n"))
@@ -236,7 +252,7 @@ def normalise_timestamps(
     schema = ", ".join([*(f"{n} string" for n in names), "_signature string", "_format string", "_posterior double"])
 
     def em(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        fitted = fit_mixture(rows.rename(columns={"_signature": "signature"})[["signature", "n"]])
+        fitted = fit_mixture(rows.rename(columns={"_signature": "signature"})[["signature", "n"]], more=DAY_FIRST if day_first else None)
         out = pd.DataFrame({n: [g] * len(fitted) for n, g in zip(names, group, strict=True)})
         return out.assign(_signature=fitted["signature"], _format=fitted["format"], _posterior=fitted["posterior"])
 
@@ -249,11 +265,12 @@ def normalise_timestamps(
     chosen = F.when(F.size("_found") == 1, F.col("_found")[0]).otherwise(
         F.try_element_at(F.filter("_found", lambda r: r["format"] == F.col("_format")), F.lit(1))
     )
-    posterior = F.when(F.size("_found") == 1, F.lit(1.0)).otherwise(F.col("_posterior"))
+    named = chosen["utc"].isNotNull()
+    posterior = F.when(named, F.when(F.size("_found") == 1, F.lit(1.0)).otherwise(F.col("_posterior")))
     return joined.select(
         "_row.*",
         chosen["utc"].alias("ts_utc"),
-        chosen["format"].alias("ts_format"),
+        F.when(named, chosen["format"]).alias("ts_format"),
         posterior.alias("ts_posterior"),
         F.coalesce(posterior < clear, F.lit(False)).alias("ts_ambiguous"),
     )

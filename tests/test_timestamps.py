@@ -83,3 +83,20 @@ def test_found(spark):
     agencies = spark.createDataFrame([("a", SP)], "agency_id string, home_tz string")
     got = {(r["arrival"], r["field"]): r["utc"] for r in t.found(items, agencies).collect()}
     assert got == {(1, "collected_at"): "2024-05-19T07:44:00.000000Z", (3, "published_at"): "2024-05-19T04:44:33.000000Z"}
+
+
+def test_found_learns_where_a_two_digit_year_stands(spark):
+    """Day stands before month unless the year comes first: for two digits the source's other values decide."""
+    first = [f"{y}/{m:02d}/{d:02d} 10:00" for y in (23, 24) for m in range(1, 13) for d in (2, 11, 19, 28)]
+    known = [f"{y}-{m:02d}-20T10:00:00Z" for y in (2023, 2024) for m in range(1, 13)]
+    probes = ["24/03/05 10:00", "31/04/24 10:00", "99/03/04 10:00"]
+    texts = {"y": [*first, *known, *probes], "d": ["/".join(v[:8].split("/")[::-1]) + v[8:] for v in first] + known + probes, "one": probes}
+    rows = [(a, v) for a, vs in texts.items() for v in vs]
+    items = spark.createDataFrame([(i, a, v, None) for i, (a, v) in enumerate(rows)], "arrival long, agency_id string, published_at string, collected_at string")
+    agencies = spark.createDataFrame([(a, "UTC") for a in texts], "agency_id string, home_tz string")
+    got = {r["arrival"]: r["utc"][:10] for r in t.found(items, agencies).collect()}
+    at = {(a, v): got.get(i) for i, (a, v) in enumerate(rows)}
+    assert all(at["y", v] == "20" + v[:8].replace("/", "-") for v in first)
+    assert all(at["d", v] == f"20{v[6:8]}-{v[3:5]}-{v[:2]}" for v in texts["d"][: len(first)])
+    assert [at["y", v] for v in probes] == ["2024-03-05", "2031-04-24", "1999-03-04"]
+    assert [at[a, v] for a in ("d", "one") for v in probes] == ["2005-03-24", None, "1999-03-04"] * 2
