@@ -7,13 +7,15 @@ lines stay in the sequences, so the projected databases are a small part of the
 text.  Each further level extends every frequent prefix by one line found after
 its first occurrence, counted by shuffle again, until a level is empty.
 Occurrences of frequent sequences of every length, single lines included, are deleted.
+For that, lines that never stand apart count as one step of the longer sequences
+(``_followers``): a footer of thirty lines would else be a thousand million sequences.
 """
 
 from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlake.session import discard, materialise
@@ -57,6 +59,23 @@ def _support(df: DataFrame, source: str, document: str, min_documents: int, min_
     return total.groupBy("src").agg(F.greatest(F.lit(min_documents), share).cast("long").alias("need"))
 
 
+def _followers(kept: DataFrame) -> DataFrame:
+    """``_s, _l``: lines that always stand right behind the same line, which is always followed by them; others in between are left out.
+
+    Such a line stands in the documents of the line before it, so any sequence through it has the
+    support of one through the first of its block.
+    """
+    before = F.lag("line").over(Window.partitionBy("src", "row").orderBy("line_no"))
+    pairs = materialise(kept.select("src", before.alias("before"), "line").groupBy("src", "before", "line").agg(F.count("*").alias("n")), "pairs")
+    total = pairs.groupBy("src", "line").agg(F.sum("n").alias("all"))
+    ahead, behind = (total.select(F.col("src").alias(f"_s{i}"), F.col("line").alias(f"_l{i}"), F.col("all").alias(f"_n{i}")) for i in (1, 2))
+    both = pairs.join(ahead, F.col("src").eqNullSafe(F.col("_s1")) & (F.col("before") == F.col("_l1")) & (F.col("n") == F.col("_n1")))
+    both = both.join(behind, F.col("src").eqNullSafe(F.col("_s2")) & (F.col("line") == F.col("_l2")) & (F.col("n") == F.col("_n2")))
+    out = materialise(both.select(F.col("src").alias("_s"), F.col("line").alias("_l")), "followers")
+    discard(pairs)
+    return out
+
+
 def frequent_sequences(
     df: DataFrame,
     source: str,
@@ -67,13 +86,15 @@ def frequent_sequences(
     min_share: float = MIN_SHARE,
     max_length: int | None = None,
     lines: DataFrame | None = None,
+    by_block: bool = False,
 ) -> DataFrame:
     """``src, lines, length, documents``: all frequent line sequences of each source, gaps allowed.
 
     Documents that share an identifier count once, rows without one not at all; null
     texts count as documents without lines; a null source is a source of its own.
     Without ``max_length`` levels are mined until one is empty.  ``lines`` may hand over
-    the table of line identifiers where the caller has written it already.
+    the table of line identifiers where the caller has written it already.  With ``by_block``
+    sequences of two and more name a block of lines that never stand apart by its first line.
     """
     need = materialise(_support(df, source, document, min_documents, min_share), "need")
     if lines is None:
@@ -90,6 +111,9 @@ def frequent_sequences(
         return out
     frequent = first.select(F.col("src").alias("_s"), F.col("line").alias("_l"))
     kept = lines.join(frequent, F.col("src").eqNullSafe(F.col("_s")) & (F.col("line") == F.col("_l")), "left_semi")
+    if by_block:
+        inner = _followers(kept)
+        kept = kept.join(inner, F.col("src").eqNullSafe(F.col("_s")) & (F.col("line") == F.col("_l")), "left_anti")
     # The database of frequent lines; it alone is extended from here on.  A document is split by its own size only.
     at_all = F.array_sort(F.collect_set("line_no")).alias("places")
     base = materialise(kept.groupBy("src", "doc", "row", "line").agg(at_all), "frequent")
@@ -112,7 +136,7 @@ def frequent_sequences(
         level = materialise(count(grown, ["src", "lines"]), f"level{length}")
         out = out.unionByName(level.select("src", "lines", F.lit(length).alias("length"), "documents"))
         if length == max_length or not level.head(1):
-            discard(base, projected, need)
+            discard(base, projected, need, *([inner] if by_block else []))
             return out
         frequent_prefix = level.select(F.col("src").alias("_s"), F.col("lines").alias("_p"))
         shorter, projected = projected, materialise(
@@ -125,7 +149,7 @@ def frequent_sequences(
 def repeated_lines(df: DataFrame, key: str, source: str, document: str, text: str, **options: float) -> DataFrame:
     """``key, line_no``: every occurrence of a line of a frequent sequence; lines are counted from 1, blank ones too."""
     lines = materialise(_lines(df, source, document, text, {"_key": key}), "lines")
-    sequences = frequent_sequences(df, source, document, text, lines=lines, **options)
+    sequences = frequent_sequences(df, source, document, text, lines=lines, **{"by_block": True, **options})
     marks = sequences.select(F.col("src").alias("_s"), F.explode("lines").alias("_l")).distinct()
     hit = lines.join(materialise(marks, "marks"), F.col("src").eqNullSafe(F.col("_s")) & (F.col("line") == F.col("_l")), "left_semi")
     return hit.select(F.col("_key").alias("key"), "line_no")

@@ -85,3 +85,14 @@ def test_lines_are_taken_from_sequences_of_every_length(spark, monkeypatch):
     want = brute_sequences(rows, 7, 5, 0.04)
     got = sorted((str(r["src"]), r["length"], r["documents"]) for r in mined[0].collect())
     assert got == sorted((str(s), len(c), n) for (s, c), n in want.items()) and max(n for _, n, _ in got) > 1
+
+
+def test_long_footers_end(spark):
+    """Thirty lines that stand together, one of them not always, are a few steps and not 2^30 sequences."""
+    foot = [f"rodape {chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+    rows = [(i, "a", f"d{i}", "\n".join([f"x {chr(97 + i)}", *(f for j, f in enumerate(foot) if j != 12 or i % 2), "fim " + chr(97 + i)])) for i in range(12)]
+    df = table(spark, rows)
+    want = {(r[0], i) for r in rows for i, line in enumerate(r[3].split("\n"), 1) if line in foot}
+    assert {tuple(r) for r in b.found(df).collect()} == want
+    got = b.frequent_sequences(df, "agency_id", "item_id", "body", by_block=True).groupBy("length").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 30), (2, 3), (3, 1)]
